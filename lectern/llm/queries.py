@@ -6,7 +6,80 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lectern.llm.common import table
+from lectern.llm.common import held_out, table
+
+
+def word_vocabulary() -> str:
+    """The tokenizer file of the packing query; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.llm import language_id
+
+    documents = table(spark, sf_dir, "documents")
+    model = language_id.train(documents, "text", "lang", ~held_out("doc_id", 3, 1))
+    found = language_id.identify(documents, model)
+    return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "languages", "proportions")
+
+
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.llm import secret_scan
+
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.llm import pairwise_quality
+
+    documents = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~held_out("doc_id", 4, 2))
+    model = pairwise_quality.train(documents, labels, "doc_id", "text", "quality")
+    found = pairwise_quality.rank(documents, model)
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
+
+
+#: Categories in chain order, as conditions over ``labels``.
+TOXICITY = {"toxic": "toxic = 1", "toxic_junk": "toxic = 1 AND quality = 0", "toxic_prose": "toxic = 1 AND quality = 1"}
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxic documents, with the probabilities of all categories."""
+    from lectern.llm import toxicity
+
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"), TOXICITY)
+    return toxicity.judge(documents, model).filter("is_toxic")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), word_vocabulary())
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives are written to the shared folder and read back."""
+    from lectern.llm import warc
+    from lectern.llm.common import checkpoint
+
+    archives = checkpoint(warc.write_archives(table(spark, sf_dir, "pages")))
+    records = warc.read_archives(archives).filter("record_type <> 'quarantined'")
+    return records.select(warc.page_key("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_key("refers_to").alias("refers_to"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +89,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op2_jaccard_join": op2_jaccard_join,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_pairwise_quality": op5_pairwise_quality,
+    "op6_toxicity": op6_toxicity,
+    "op8_packing": op8_packing,
+    "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
 }
 
