@@ -98,3 +98,20 @@ def arrow_map(df: DataFrame, build: Callable[[pa.RecordBatch], dict], schema: st
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type, from_pandas=False) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def runs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[np.ndarray]]:
+    """Whole runs of equal first columns from sorted batches."""
+    rest: list[np.ndarray] | None = None
+    for batch in batches:
+        own = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(columns)]
+        if rest is not None:
+            own = [np.concatenate(x) for x in zip(rest, own)]
+        if not len(own[0]):
+            continue
+        cut = int(np.searchsorted(own[0] != own[0][-1], False)) if own[0][0] == own[0][-1] else int(np.flatnonzero(own[0] != own[0][-1])[-1]) + 1
+        if cut:
+            yield [x[:cut] for x in own]
+        rest = [x[cut:] for x in own]
+    if rest is not None and len(rest[0]):
+        yield rest

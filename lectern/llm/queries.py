@@ -66,6 +66,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(documents, model).filter("is_toxic")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.llm import suffix_dedup
+
+    return suffix_dedup.digest(suffix_dedup.dedup(table(spark, sf_dir, "documents")))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lectern.llm.packing import pack
 
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_pairwise_quality": op5_pairwise_quality,
     "op6_toxicity": op6_toxicity,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
