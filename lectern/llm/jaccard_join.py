@@ -17,7 +17,9 @@ Two documents link when the Jaccard similarity of their shingle sets reaches
    paired with the one closest to the list's core and with its neighbour in
    size; where the links found so far leave a long list in several components,
    the pairs across components follow in a second round.
-5. Candidates are verified on whole sets, and components of the links reported.
+5. A bit for each set and hash cell, odd or even, rules out most candidates that
+   differ in too much. The others are verified on whole sets, and components of
+   the links reported.
 
 No list is expanded into all pairs once its members are connected, sets of hot
 documents are dealt to many tasks, and nothing but the sketch and bit filters of
@@ -39,7 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.llm.common import arrow_map, bitmap, checkpoint, in_bitmap, mix, share, task_id
+from lectern.llm.common import arrow_map, bitmap, checkpoint, in_bitmap, mix, runs, share, task_id
 from lectern.llm.components import connected_components
 
 SKETCH_BITS = 20
@@ -119,6 +121,36 @@ def _prefix(s: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
     return s[np.argsort(level, kind="stable")[:most]]
 
 
+def _parity(s: np.ndarray) -> bytes:
+    """A bit per cell: is the number of shingles that fall into it odd? As many cells as shingles, up to a power of two.
+
+    Where two sets' bits differ, so do the sets, in one shingle for each bit at least.
+    """
+    cells = max(64, 1 << max(0, len(s) - 1).bit_length())
+    odd = np.bincount((s >> np.uint64(8)).astype(np.int64) & (cells - 1), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _half(bits: np.ndarray) -> np.ndarray:
+    """Parities over half as many cells, along the last axis."""
+    n = bits.shape[-1] // 2
+    return bits[..., :n] ^ bits[..., n:]
+
+
+def _differences(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Bits in which ``one`` differs from each of ``many``, in cells of the smaller kind."""
+    while one.shape[-1] > many.shape[-1]:
+        one = _half(one)
+    while many.shape[-1] > one.shape[-1]:
+        many = _half(many)
+    return np.bitwise_count(one ^ many).sum(axis=-1, dtype=np.int64)
+
+
+def _most_differences(n, m, percent: int):
+    """The largest symmetric difference of linked sets of sizes n and m."""
+    return n + m - 2 * (-(-percent * (n + m) // (100 + percent)))
+
+
 def _boundary(sized: DataFrame) -> int:
     """The largest set size for which subsets are enumerated, by least total cost."""
     bucket = F.floor(F.log2("n") * 8)
@@ -126,7 +158,7 @@ def _boundary(sized: DataFrame) -> int:
     best, at, cost = sum(r["large"] for r in rows), 0, sum(r["large"] for r in rows)
     for r in rows:
         cost += r["small"] - r["large"]
-        if cost < best:
+        if cost <= best:
             best, at = cost, r["n"]
     return at
 
@@ -159,27 +191,10 @@ def _allowed(n: np.ndarray, p: np.ndarray, m, q, percent: int) -> np.ndarray:
     return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * most >= percent * (n + m))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[np.ndarray]]:
-    """Whole runs of equal first columns from sorted batches."""
-    rest: list[np.ndarray] | None = None
-    for batch in batches:
-        own = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(columns)]
-        if rest is not None:
-            own = [np.concatenate(x) for x in zip(rest, own)]
-        if not len(own[0]):
-            continue
-        cut = int(np.searchsorted(own[0] != own[0][-1], False)) if own[0][0] == own[0][-1] else int(np.flatnonzero(own[0] != own[0][-1])[-1]) + 1
-        if cut:
-            yield [x[:cut] for x in own]
-        rest = [x[cut:] for x in own]
-    if rest is not None and len(rest[0]):
-        yield rest
-
-
 def _pairs_of_lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Candidate pairs (a, b), and the rows (sig, id, place) of long lists."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sig", pa.int64()), ("place", pa.int64())])
-    for sig, key, place in _runs(batches, 3):
+    for sig, key, place in runs(batches, 3):
         starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         sizes = np.diff(np.append(starts, len(sig)))
         n, p = place >> 32, (place & 0xFFFFFFFF) - 1
@@ -217,17 +232,23 @@ def _pairs_of_lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator
 
 
 def _pairs_across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of a block's members in different components; a block holds (block, id, place, component, role)."""
-    for block, key, place, component, role in _runs(batches, 5):
+    """Pairs of a block's members in different components; a block holds (block, id, place, component, role, parity)."""
+    for block, key, place, component, role, parity in runs(batches, 6):
         starts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
         found = []
         for s, e in zip(starts, np.append(starts[1:], len(block))):
             k, n, p, c, r = key[s:e], place[s:e] >> 32, (place[s:e] & 0xFFFFFFFF) - 1, component[s:e], role[s:e]
+            bits = [np.frombuffer(x, dtype=np.uint8) for x in parity[s:e]]
+            width = np.array([len(x) for x in bits])
+            tables = {w: (np.cumsum(width == w) - 1, np.stack([x for x in bits if len(x) == w])) for w in np.unique(width).tolist()}
             # Role 0: the block's part of the largest component; 1: all others; 2: those again, paired among themselves.
             for i in np.flatnonzero(r > 0):
                 ok = (c != c[i]) & ((r == 0) | ((r[i] == 2) & (k < k[i]))) & _allowed(n, p, n[i], p[i], percent)
-                if ok.any():
-                    found.append(np.stack([np.minimum(k[ok], k[i]), np.maximum(k[ok], k[i])], axis=1))
+                for w, (row, table) in tables.items():
+                    at = np.flatnonzero(ok & (width == w))
+                    at = at[_differences(bits[i], table[row[at]]) <= _most_differences(n[at], n[i], percent)] if len(at) else at
+                    if len(at):
+                        found.append(np.stack([np.minimum(k[at], k[i]), np.maximum(k[at], k[i])], axis=1))
         if found:
             both = np.unique(np.concatenate(found), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
@@ -257,8 +278,7 @@ def _verify(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFram
                 data = [_narrow(shingles(t, k)) for t in batch.column(1).take(own).to_pylist()]
                 yield pa.RecordBatch.from_arrays([key.take(own), pa.array(data, pa.binary())], names=["id", "data"])
 
-    own = docs.filter("id is not null").mapInArrow(sets, "id long, data binary").join(ends.select(F.col("a").alias("id")).distinct(), "id").dropDuplicates(["id"])
-    own = checkpoint(own)
+    own = checkpoint(docs.filter("id is not null").mapInArrow(sets, "id long, data binary"))
     # A document with very many partners is sent to several tasks, with a block of them each.
     busy = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")
@@ -300,27 +320,29 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     least = next(n for n in range(1, 101) if 100 * n >= percent * (n + 1) or n == 100)
 
     def prefixes(batch: pa.RecordBatch) -> dict:
-        out = {"id": batch.column(0).cast(pa.int64()), "prefix": [], "subsets": [], "lists": []}
+        out = {"id": batch.column(0).cast(pa.int64()), "prefix": [], "parity": [], "subsets": [], "lists": []}
         for text in batch.column(1).to_pylist():
             s = shingles(text, k)
             t = _prefix(s, levels.value, percent) if len(s) >= least else s[:0]
             own = levels.value[(t[:-1] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
             out["prefix"].append(t.tobytes())
+            out["parity"].append(_parity(s))
             out["subsets"].append(len(t) * (len(t) - 1) / 2.0)
             out["lists"].append(float(np.exp2(own.astype(float)).sum()))
         return out
 
-    made = arrow_map(docs.filter("id is not null"), prefixes, "id long, prefix binary, subsets double, lists double")
+    made = arrow_map(docs.filter("id is not null"), prefixes, "id long, prefix binary, parity binary, subsets double, lists double")
     sized = checkpoint(made.join(stands.select(F.col("class_id").alias("id"), "n").filter(F.col("n") >= least), "id").dropDuplicates(["id"]))
     boundary = _boundary(sized)
     signed = arrow_map(sized.select("id", "n", "prefix"), lambda b: _signatures(b, boundary, percent), "sig long, id long, place long")
     lists = signed.repartition("sig").sortWithinPartitions("sig", "place", "id")
     found = checkpoint(lists.mapInArrow(lambda it: _pairs_of_lists(it, percent), "a long, b long, sig long, place long"))
-    pairs = checkpoint(found.filter("sig is null").select("a", "b").distinct())
+    parities = sized.select("id", "n", "parity")
+    pairs = checkpoint(_near(found.filter("sig is null").select("a", "b").distinct(), parities, percent))
     links = _verify(docs, pairs, k, percent)
     labels = connected_components(links)
     hot = found.filter("sig is not null").select("sig", F.col("a").alias("id"), "place")
-    across = _across(hot, labels, percent)
+    across = _across(hot, labels, parities, percent)
     if not across.isEmpty():
         more = checkpoint(across.join(pairs, ["a", "b"], "left_anti"))
         if not more.isEmpty():
@@ -332,15 +354,30 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return out.select(F.col("id").cast(kind).alias(id_col), F.col("n").cast("long").alias("n_shingles"), alone("class_id"), alone("component_id"))
 
 
-def _across(hot: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _near(pairs: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose parity bits don't rule a link out."""
+    a, b = parities.toDF("a", "n", "x"), parities.toDF("b", "m", "y")
+
+    def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("n", "m"))
+            most = _most_differences(n, m, percent)
+            x, y = (batch.column(c).to_pylist() for c in ("x", "y"))
+            near = [int(_differences(np.frombuffer(i, dtype=np.uint8), np.frombuffer(j, dtype=np.uint8))) <= k for i, j, k in zip(x, y, most.tolist())]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(filtered, "a long, b long")
+
+
+def _across(hot: DataFrame, labels: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs across components of the long lists that hold more than one."""
     rows = hot.join(labels, "id", "left").select("sig", "id", "place", F.coalesce("component", "id").alias("component"))
     counts = rows.groupBy("sig", "component").agg(F.count("*").alias("n"))
     lists = counts.groupBy("sig").agg(F.count("*").alias("components"), F.max_by("component", F.struct("n", "component")).alias("largest"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(lists.filter("components > 1"), "sig")
+    rows = rows.join(lists.filter("components > 1"), "sig").join(parities.select("id", "parity"), "id")
     block = lambda b: F.xxhash64("sig", b)
-    core = rows.filter("component = largest").select(block(F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).alias("block"), "id", "place", "component", F.lit(0).alias("role"))
-    rest = rows.filter("component <> largest").select("sig", "id", "place", "component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
-    rest = rest.select(block(F.col("b")).alias("block"), "id", "place", "component", F.when(F.col("b") == 0, 2).otherwise(1).alias("role"))
+    core = rows.filter("component = largest").select(block(F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).alias("block"), "id", "place", "component", F.lit(0).alias("role"), "parity")
+    rest = rows.filter("component <> largest").select("sig", "id", "place", "component", "parity", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
+    rest = rest.select(block(F.col("b")).alias("block"), "id", "place", "component", F.when(F.col("b") == 0, 2).otherwise(1).alias("role"), "parity")
     dealt = core.unionByName(rest).repartition("block").sortWithinPartitions("block", "id")
     return checkpoint(dealt.mapInArrow(lambda it: _pairs_across(it, percent), "a long, b long").distinct())
