@@ -1,12 +1,78 @@
-"""A corpus pipeline of five stages over ``documents``."""
+"""A corpus pipeline of five stages over ``documents``.
+
+Quality rules drop documents, the n-gram Jaccard join keeps the least id of each
+group of near duplicates, decontamination drops documents that hold a benchmark
+item, the secret scan cuts secrets out of the texts, and best-fit packing deals
+what is left into sequences. Each stage is written as Parquet in the shared
+folder and read again as the next one's input.
+
+No stage has an equivalent in SQL as a whole (robust covariance steps, alignment,
+tokenisation), so ``ORACLE_SQL`` is None and tests compare with plain Python.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from lectern.llm.decontaminate import find_leaks
+from lectern.llm.jaccard_join import jaccard_components
+from lectern.llm.packing import pack
+from lectern.llm.quality_rules import quality_rules
+from lectern.llm.queries import word_vocabulary
+from lectern.llm.secret_scan import redact
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the outlier test keep."""
+    kept = quality_rules(docs).filter("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi")
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The least id of each component of documents with a similarity of 0.8 on five-word shingles."""
+    groups = jaccard_components(docs, k=5, percent=80)
+    return docs.join(groups.filter("doc_id = component_id").select("doc_id"), "doc_id", "left_semi")
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of each secret."""
+    clean = redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, word_vocabulary())
+
 
-STAGES: list = []
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("secret_scan", secret_stage),
+    ("packing", packing_stage),
+]
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages in order; what lies between them goes to a folder of its own under the shared one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lectern-pipeline-")
+    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for number, (name, stage) in enumerate(STAGES):
+        path = f"{folder}/{number}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
