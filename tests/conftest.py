@@ -14,7 +14,7 @@ os.environ.setdefault("LECTERN_DRIVER_MEMORY", "4g")
 def spark():
     from lectern.session import local_session
 
-    return local_session("tests", cores=4, partitions=4)
+    return local_session("tests", cores=4, partitions=2)
 
 
 @pytest.fixture(scope="session")
