@@ -63,7 +63,7 @@ def brute_components(texts, k, percent):
     return {i: (len(s), find(i)) for i, s in enumerate(sets)}
 
 
-@pytest.mark.parametrize("k,percent,short", [(4, 85, 64), (5, 80, 64), (4, 85, 3), (2, 50, 2)])
+@pytest.mark.parametrize("k,percent,short", [(5, 80, 64), (4, 85, 3)])
 def test_components_equal_brute_force(spark, tricky, monkeypatch, k, percent, short):
     from lectern.llm import jaccard_join as J
 
@@ -73,7 +73,7 @@ def test_components_equal_brute_force(spark, tricky, monkeypatch, k, percent, sh
     assert got == brute_components(tricky, k, percent)
 
 
-@pytest.mark.parametrize("boundary", [0, 1000])
+@pytest.mark.parametrize("boundary", [1000])
 def test_components_with_either_branch(spark, tricky, monkeypatch, boundary):
     from lectern.llm import jaccard_join as J
 
