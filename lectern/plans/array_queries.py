@@ -147,3 +147,24 @@ def map_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "events").select("event_id", "event_type", M.public_entries(m).alias("m"))
     back = M.inverted(F.map_filter("m", lambda k, v: k == F.col("event_type")))
     return rows.select("event_id", M.sorted_keys("m").alias("names"), F.try_element_at(back, F.col("event_id").cast("string")).alias("first_kept"), F.try_element_at("m", F.col("event_type")).cast("bigint").alias("id_of_type"))
+
+
+@query("SELECT item_id, w.word AS word, w.\"end\" - w.start AS seconds FROM (SELECT item_id, unnest(list_transform(string_split(left(text, 60), ' '), lambda x: {'word': x, 'start': 0.5::DOUBLE, 'end': 0.5::DOUBLE + length(x)})) AS w FROM benchmark)")
+def word_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of two recogniser segments a text, as one list."""
+    from lectern.functions.phonemes import words_of_segments
+
+    words = F.transform(F.split(F.left("text", F.lit(60)), " "), lambda w: F.struct(w.alias("word"), F.lit(0.5).alias("start"), (F.lit(0.5) + F.length(w)).alias("end")))
+    rows = read(spark, sf_dir, "benchmark").select("item_id", words.alias("w"))
+    segments = F.array(F.struct(F.slice("w", 1, 2).alias("words")), F.struct(F.expr("slice(w, 3, 1000)").alias("words")))
+    return rows.select("item_id", F.explode(words_of_segments(segments)).alias("w")).select("item_id", "w.word", (F.col("w.end") - F.col("w.start")).alias("seconds"))
+
+
+@query("SELECT item_id, list_transform(string_split(left(text, 60), ' '), lambda w: CAST(length(w) AS INTEGER)) AS sizes FROM benchmark")
+def symbol_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words as groups of code points with zeros between them."""
+    from lectern.functions.phonemes import symbol_groups as groups
+
+    points = F.transform(F.split(F.left("text", F.lit(60)), ""), lambda c: F.when(c == " ", F.lit(0)).otherwise(F.ascii(c)))
+    # A space at the cut would end a group that has nothing in it.
+    return read(spark, sf_dir, "benchmark").select("item_id", groups(F.when(F.substring("text", 60, 1) == " ", F.concat(points, F.array(F.lit(0)))).otherwise(points)).alias("sizes"))

@@ -194,3 +194,45 @@ def vocabulary(spark: SparkSession, path: str) -> DataFrame:
 
     rows = lines(spark, path).filter(F.trim("value") != "")
     return rows.select(F.col("value").alias("symbol"), (F.row_number().over(Window.orderBy("path", "line")) - 1).alias("id"))
+
+
+def dataset_config(spark: SparkSession, path: str) -> DataFrame:
+    """sample_rate and voice of a dataset's configuration; nulls if the file is no JSON object."""
+    rows = spark.read.text(path, wholetext=True)
+    return parsed_json(rows, "value", "audio struct<sample_rate:int>, espeak struct<voice:string>").select(
+        F.when(F.col("valid"), F.col("parsed.audio.sample_rate")).alias("sample_rate"), F.when(F.col("valid"), F.col("parsed.espeak.voice")).alias("voice")
+    )
+
+
+def dataset_state(spark: SparkSession, path: str) -> DataFrame:
+    """One row: which of a dataset's parts are there."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.regexp_replace("path", "^.*?" + path.rstrip("/").replace(".", r"\.") + "/", "").alias("p"))
+    return files.agg(
+        F.coalesce(F.bool_or(F.col("p") == "config.json"), F.lit(False)).alias("config"),
+        F.coalesce(F.bool_or(F.col("p") == "metadata_2col.csv"), F.lit(False)).alias("metadata"),
+        F.coalesce(F.bool_or(F.col("p").startswith("wavs/")), F.lit(False)).alias("wavs"),
+    )
+
+
+def voice_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """The sorted keys of a catalogue of voices."""
+    rows = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,string>").alias("m"))
+    return rows.select(F.explode(F.array_sort(F.map_keys("m"))).alias("voice"))
+
+
+def model_catalogue(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """Model files that have their configuration beside them; of equal names the first root's."""
+    found = [spark.read.format("binaryFile").option("pathGlobFilter", "*.onnx*").load(r).select("path", F.lit(i).alias("root")) for i, r in enumerate(roots)]
+    files = found[0]
+    for more in found[1:]:
+        files = files.union(more)
+    configs = files.filter(F.col("path").endswith(".onnx.json")).select(F.regexp_replace("path", r"\.json$", "").alias("path"))
+    models = files.filter(F.col("path").endswith(".onnx")).join(configs, "path", "left_semi")
+    name = F.regexp_replace(_base("path"), r"\.onnx$", "")
+    return models.withColumn("name", name).groupBy("name").agg(F.min_by("path", F.struct("root", "path")).alias("path"))
+
+
+def private_ports(ports: Column | str, wanted: int = 22) -> Column:
+    """The first entry of a list of port structs with the wanted private port."""
+    c = F.col(ports) if isinstance(ports, str) else ports
+    return F.get(F.filter(c, lambda p: p["privatePort"] == wanted), F.lit(0))
