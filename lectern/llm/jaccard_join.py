@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, functions as F
 from lectern.llm.common import arrow_map, bitmap, checkpoint, in_bitmap, mix, runs, share, task_id
 from lectern.llm.components import connected_components
 
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 #: Lists up to this length give all their pairs at once.
 SHORT = 64
 #: Rows of a long list, or partners of one document, that go to one task.
@@ -111,7 +111,7 @@ def _levels(rows: DataFrame) -> np.ndarray:
         total += _unpack(row.fp)
     mean = total.mean()
     excess = total - mean
-    return np.where(excess > max(6.0, 8.0 * np.sqrt(mean)), 1 + np.log2(np.maximum(excess, 1.0)), 0).astype(np.uint8)
+    return np.where(excess > max(4.0, 3.0 * np.sqrt(mean)), 1 + np.log2(np.maximum(excess, 1.0)), 0).astype(np.uint8)
 
 
 def _prefix(s: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
@@ -328,7 +328,9 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
             out["prefix"].append(t.tobytes())
             out["parity"].append(_parity(s))
             out["subsets"].append(len(t) * (len(t) - 1) / 2.0)
-            out["lists"].append(float(np.exp2(own.astype(float)).sum()))
+            # A member of a short list meets half of it, one of a long list a fixed number.
+            length = np.exp2(np.maximum(own.astype(float) - 1, 0))
+            out["lists"].append(float(np.where(length > SHORT, 3.0, np.maximum(length / 2, 1.0)).sum()))
         return out
 
     made = arrow_map(docs.filter("id is not null"), prefixes, "id long, prefix binary, parity binary, subsets double, lists double")
