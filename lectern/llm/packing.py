@@ -20,11 +20,13 @@ alone; an empty table gives an empty result; repeated ids are packed apart.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lectern.llm.common import arrow_map, checkpoint, share, task_id
@@ -32,15 +34,18 @@ from lectern.llm.common import arrow_map, checkpoint, share, task_id
 SIZE = 2048
 #: White space for str.split() that is none for the tokenizer.
 ODD_SPACE = re.compile(r"[\x1c-\x1f]")
-#: Parts that the word tokenizers of this kind never merge, for lower-case ASCII.
-PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: The parts that the tokenizer's own pattern makes of a word, in any case (fixed pattern).
+PART = regex.compile(r"'[sStTmMdD]|'[rR][eE]|'[vV][eE]|'[lL][lL]|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Parts that are encoded in one call.
+CALL = 4000
 _CACHES: dict[str, Cache] = {}
 
 
 class Cache:
     """Token ids of white-space separated words; a word's ids don't depend on its neighbours.
 
-    Holds for tokenizers that split at white space first and drop it.
+    Holds for tokenizers that split at white space first and drop it. New words
+    are cut into the tokenizer's own parts, and many parts are encoded as one text.
     """
 
     def __init__(self, path: str, most: int = 1_000_000):
@@ -51,28 +56,37 @@ class Cache:
         self.known: dict[str, bytes] = {}
         self.most = most
 
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if ODD_SPACE.search(text):
-            return self._encode([text])[0]
-        words, known = text.split(), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > self.most:
-            known.clear()
-        # The tokenizer lowers case and splits off punctuation itself, so ASCII words are known by these parts.
-        new = {w: PART.findall(w.lower()) if w.isascii() else [w] for w in words if w not in known}
-        parts = list({p for ps in new.values() for p in ps} - known.keys())
-        known.update(zip(parts, self._encode(parts)))
-        for w, ps in new.items():
-            if w not in known:
-                known[w] = b"".join([known[p] for p in ps])
-        return b"".join([known[w] for w in words])
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        odd = {i: self._whole(t) for i, t in enumerate(texts) if ODD_SPACE.search(t)}
+        words = [[] if i in odd else t.split() for i, t in enumerate(texts)]
+        if len(self.known) > self.most:
+            self.known.clear()
+        self._learn(set().union(*words).difference(self.known))
+        known = self.known
+        return [odd[i] if i in odd else b"".join([known[w] for w in ws]) for i, ws in enumerate(words)]
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, new: set[str]) -> None:
+        cut = {w: PART.findall(w.lower() if w.isascii() else unicodedata.normalize("NFC", w)) for w in new}
+        parts = list({p for ps in cut.values() for p in ps}.difference(self.known))
+        for low in range(0, len(parts), CALL):
+            some = parts[low : low + CALL]
+            made = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            owner = np.array(made.word_ids, dtype=np.int64)
+            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            if len(first) == len(some):
+                ids = np.array(made.ids, dtype="<u4").tobytes()
+                ends = np.append(first[1:], len(owner)) * 4
+                for p, s, e in zip(some, (first * 4).tolist(), ends.tolist()):
+                    self.known[p] = ids[s:e]
+            else:  # a part that lower case cuts up further
+                self.known.update((p, self._whole(p)) for p in some)
+        for w, ps in cut.items():
+            if w not in self.known:
+                self.known[w] = b"".join([self.known[p] for p in ps])
 
 
 def cache(path: str) -> Cache:
@@ -96,8 +110,8 @@ def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             for low in range(0, batch.num_rows, 500):
                 ids, out = batch.column(0).slice(low, 500), []
                 owners = []
-                for i, text in enumerate(batch.column(1).slice(low, 500).to_pylist()):
-                    data = (tokens.ids(text) if text else b"") + end
+                for i, data in enumerate(tokens.many([t or "" for t in batch.column(1).slice(low, 500).to_pylist()])):
+                    data += end
                     for k in range(0, len(data), 4 * size):
                         part_of = data[k : k + 4 * size]
                         n = len(part_of) // 4
