@@ -52,34 +52,44 @@ def normalise(text: str) -> tuple[np.ndarray, np.ndarray]:
     v = _lower_table()[np.minimum(c, 0xFFFF)]
     if len(c) and c.max() > 0xFFFF:
         v = np.where(c > 0xFFFF, c, v)
-    word = v > 0
-    keep = word.copy()
-    keep[1:] |= word[:-1]
+    keep = v > 0
+    keep[1:] |= v[:-1] > 0
     at = np.flatnonzero(keep)
     v = v[at]
     v[v == 0] = 32
     return v, at
 
 
-def q_grams(v: np.ndarray) -> np.ndarray:
-    """Hashes of all windows of 12 code points."""
+def slots(v: np.ndarray, bits: int) -> np.ndarray:
+    """A short hash of each window of 12 code points, by doubling; it only preselects."""
     if len(v) < Q:
-        return np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint32)
+    r = np.uint32(0x9E3779B1)
     with np.errstate(over="ignore"):
-        x = v.astype(np.uint64)
-        two = x[:-1] * _R + x[1:]
-        four = two[:-2] * (_R * _R) + two[2:]
-        r4 = _R * _R * _R * _R
-        return mix((four[:-8] * r4 + four[4:-4]) * r4 + four[8:])
+        r2 = r * r
+        r4 = r2 * r2
+        two = v[:-1] * r + v[1:]
+        four = two[:-2] * r2 + two[2:]
+        return (((four[:-8] * r4 + four[4:-4]) * r4 + four[8:]) * np.uint32(0x85EBCA77)) >> np.uint32(32 - bits)
+
+
+def q_grams(v: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the windows of 12 code points that start at ``at``."""
+    h = np.zeros(len(at), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(Q):
+            h = h * _R + v[at + j]
+    return mix(h)
 
 
 def budget(m: int, rate: float) -> int:
     return max(0, min(int(rate * m), (m - Q) // Q))
 
 
-def index(items: list[tuple[int, str]], rate: float, bits: int = 22) -> dict:
+def index(items: list[tuple[int, str]], rate: float, bits: int = 21) -> dict:
     """The q-grams of a block of items, sorted, with a bit filter before them."""
     kept, grams, owner, place, short = [], [], [], [], []
+    flags = np.zeros(1 << bits, dtype=bool)
     for key, text in items:
         v, _ = normalise(text)
         v = v[:-1] if len(v) and v[-1] == 32 else v
@@ -88,20 +98,19 @@ def index(items: list[tuple[int, str]], rate: float, bits: int = 22) -> dict:
         if len(v) < Q:
             short.append((key, " " + "".join(map(chr, v)) + " "))
             continue
-        g = q_grams(v)
+        g = q_grams(v, np.arange(len(v) - Q + 1))
+        flags[slots(v, bits)] = True
         grams.append(g)
         owner.append(np.full(len(g), len(kept)))
         place.append(np.arange(len(g)))
         kept.append((key, v))
     g = np.concatenate(grams) if grams else np.zeros(0, dtype=np.uint64)
     order = np.argsort(g, kind="stable")
-    flags = np.zeros(1 << bits, dtype=bool)
-    flags[(g >> np.uint64(64 - bits)).astype(np.int64)] = True
     k = np.array([budget(len(v), rate) for _, v in kept], dtype=np.int64)
     m = np.array([len(v) for _, v in kept], dtype=np.int64)
     return {
         "bits": bits,
-        "flags": np.packbits(flags),
+        "flags": flags,
         "grams": g[order],
         "owner": np.concatenate(owner)[order] if owner else np.zeros(0, dtype=np.int64),
         "place": np.concatenate(place)[order] if place else np.zeros(0, dtype=np.int64),
@@ -114,26 +123,31 @@ def index(items: list[tuple[int, str]], rate: float, bits: int = 22) -> dict:
 
 def candidates(v: np.ndarray, ix: dict) -> list[tuple[int, int]]:
     """(item, first diagonal of a double band) where shared q-grams reach the bound."""
-    g = q_grams(v)
-    if not len(g) or not len(ix["grams"]):
+    if len(v) < Q or not len(ix["grams"]):
         return []
-    slot = (g >> np.uint64(64 - ix["bits"])).astype(np.int64)
-    at = np.flatnonzero((ix["flags"][slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1)
+    at = np.flatnonzero(ix["flags"][slots(v, ix["bits"])])
     if len(at) < ix["need"].min():
         return []
-    low = np.searchsorted(ix["grams"], g[at], side="left")
-    n = np.searchsorted(ix["grams"], g[at], side="right") - low
+    g = q_grams(v, at)
+    low = np.searchsorted(ix["grams"], g, side="left")
+    n = np.searchsorted(ix["grams"], g, side="right") - low
     at, low, n = at[n > 0], low[n > 0], n[n > 0]
     if len(at) < ix["need"].min():
         return []
     entry = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
     owner = ix["owner"][entry]
     diagonal = np.repeat(at, n) - ix["place"][entry]
-    step = 2 * ix["k"][owner] + 1
-    band = diagonal // step
-    pairs, counts = np.unique(np.stack([owner, band], axis=1), axis=0, return_counts=True)
+    # An item with too few shared q-grams on all diagonals has too few in any band.
+    enough = np.bincount(owner, minlength=len(ix["need"])) >= ix["need"]
+    owner, diagonal = owner[enough[owner]], diagonal[enough[owner]]
+    if not len(owner):
+        return []
+    band = diagonal // (2 * ix["k"][owner] + 1)
+    base = int(band.min())
+    pairs, counts = np.unique((owner << 32) | (band - base), return_counts=True)
     found: dict[tuple[int, int], int] = {}
-    for (i, b), c in zip(pairs.tolist(), counts.tolist()):
+    for key, c in zip(pairs.tolist(), counts.tolist()):
+        i, b = key >> 32, (key & 0xFFFFFFFF) + base
         for start in (b - 1, b):
             found[i, start] = found.get((i, start), 0) + c
     return [(i, b * int(2 * ix["k"][i] + 1)) for (i, b), c in found.items() if c >= ix["need"][i]]
@@ -170,13 +184,30 @@ def banded_distance(item: np.ndarray, text: np.ndarray, first: int, width: int)
     return int(cost[end]), int(origin[end]), first + end + len(item)
 
 
+def _exact(item: np.ndarray, text: np.ndarray) -> int:
+    """Where the item stands in the text without an edit, -1 for nowhere; spares the alignment of plain copies."""
+    raw, wanted, at = text.tobytes(), item.tobytes(), -1
+    while True:
+        at = raw.find(wanted, at + 1)
+        if at < 0 or at % 4 == 0:
+            return at // 4 if at >= 0 else -1
+
+
 def matches(text: str, ix: dict) -> list[tuple[int, int, int, int]]:
     """Item id, start and end in the text, and edits of each item that occurs."""
     v, at = normalise(text)
     best: dict[int, tuple[int, int, int]] = {}
     for i, diagonal in candidates(v, ix):
         item, k = ix["items"][i][1], int(ix["k"][i])
-        edits, start, end = banded_distance(item, v, diagonal - k, 2 * (2 * k + 1) + 2 * k)
+        first, width = diagonal - k, 2 * (2 * k + 1) + 2 * k
+        low = max(0, first)
+        found = _exact(item, v[low : max(0, first + width + len(item))])
+        if found >= 0:
+            edits, start, end = 0, low + found, low + found + len(item)
+        elif i in best and best[i][0] == 0:
+            continue
+        else:
+            edits, start, end = banded_distance(item, v, first, width)
         if edits <= k and end > start and (i not in best or (edits, start, end) < best[i]):
             best[i] = (edits, start, end)
     out = [(ix["items"][i][0], int(at[s]), int(at[e - 1]) + 1, d) for i, (d, s, e) in best.items()]
