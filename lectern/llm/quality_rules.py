@@ -15,8 +15,10 @@ source with a third of all rows costs no task more than its bins.
 
 Defined results: null text counts as empty; null language or source is a group
 of its own; an empty text fails the base rules; rows of a group with fewer than
-``min_group`` usable rows are judged by the base rules alone; repeated rows are
-counted as often as they occur; an empty table gives an empty result.
+``min_group`` usable rows are judged by the estimate over all rows of their
+language, and where that has fewer too, over all rows; only a table with fewer
+usable rows in all has no estimate, and the base rules alone judge it; repeated
+rows are counted as often as they occur; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -134,22 +136,48 @@ def _factor(rows: DataFrame, keys: list[str]) -> DataFrame:
     return out.select(*keys, *[f"_m{i}" for i in range(n)], *[f"_l{i}{j}" for i in range(n) for j in range(i + 1)])
 
 
+def _pools(rows: DataFrame, keys: list[str], min_group: int) -> DataFrame:
+    """For each group of ``keys``, ``_pools``: the pools its rows count in, each with ``_judge``, true for the one that judges them.
+
+    A pool is a prefix of the keys, with "" for the others, and ``_level``, the prefix's length.
+    """
+    groups = checkpoint(rows.groupBy(*keys).agg(F.count("*").alias("_n")))
+    levels, out = range(len(keys), -1, -1), groups
+    for k in levels:
+        total = groups.groupBy(*keys[:k]).agg(F.sum("_n").alias(f"_n{k}"))
+        out = out.join(total, keys[:k]) if k else out.crossJoin(F.broadcast(total))
+    level = F.coalesce(*[F.when(F.col(f"_n{k}") >= min_group, F.lit(k)) for k in levels])
+    out = checkpoint(out.withColumn("_own", level))
+    wanted: list[Column] = []
+    for k in levels:
+        # A pool is estimated where it judges a group; then all rows under it count.
+        used = out.filter(F.col("_own") == k).select(*keys[:k], F.lit(True).alias(f"_w{k}")).distinct()
+        out = out.join(used, keys[:k], "left") if k else out.crossJoin(F.broadcast(used.agg(F.max("_w0").alias("_w0"))))
+        parts = [F.col(x) if i < k else F.lit("") for i, x in enumerate(keys)]
+        pool = F.struct(F.lit(k).alias("_level"), *[x.alias(name) for x, name in zip(parts, keys)], (F.col("_own") == k).alias("_judge"))
+        wanted.append(F.when(F.col(f"_w{k}"), pool))
+    return checkpoint(out.select(*keys, F.array_compact(F.array(*wanted)).alias("_pools")))
+
+
 def mcd_outliers(stats: DataFrame, id_col: str, keys: list[str], support: float = 0.75, cutoff: float = 30.0, steps: int = 3, min_group: int = 50) -> DataFrame:
     """``id_col``, ``distance`` and ``outlier`` for the rows of ``stats``, which must not be recomputed at each use.
 
-    ``distance`` is null for rows without an estimate: texts without words and small groups.
+    ``keys`` are strings without nulls. A group of fewer than ``min_group`` rows is judged by the estimate of the rows
+    that share all keys but the last, and so on up to all rows. Rows without an estimate are not in the result: texts
+    without words, and tables of fewer than ``min_group`` rows.
     """
     rows = stats.filter(F.col("n_words") > 0).select(id_col, *keys, *_features())
     names, n = list(FEATURES), len(FEATURES)
+    rows = rows.join(_pools(rows, keys, min_group), keys).select(id_col, *names, F.explode("_pools").alias("_pool"))
+    keys = ["_level", *keys]
+    rows = rows.select(id_col, *[f"_pool.{k}" for k in keys], "_pool._judge", *names)
     long = rows.select(*keys, F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.col(x).alias("_x")) for i, x in enumerate(names)])).alias("_f"))
     start = _quantile(long.select(*keys, "_f._i", "_f._x"), [*keys, "_i"], "_x", [0.25, 0.5, 0.75], 0.01)
     start = start.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_i") == i, F.col("_q1"))).alias(f"_m{i}") for i in range(n)],
         *[F.max(F.when(F.col("_i") == i, F.sqrt(((F.col("_q2") - F.col("_q0")) / 1.349) ** 2 + FEATURES[x] ** 2))).alias(f"_l{i}{i}") for i, x in enumerate(names)],
     )
-    start = start.select("*", *[F.lit(0.0).alias(f"_l{i}{j}") for i in range(n) for j in range(i)])
-    large = rows.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= min_group).select(*keys)
-    estimate = checkpoint(start.join(large, keys))
+    estimate = checkpoint(start.select("*", *[F.lit(0.0).alias(f"_l{i}{j}") for i in range(n) for j in range(i)]))
     for _ in range(steps):
         near = _distance(rows, estimate, keys)
         edge = _quantile(near, keys, "_ln", [support], 1 / 64)
@@ -158,7 +186,7 @@ def mcd_outliers(stats: DataFrame, id_col: str, keys: list[str], support: float
     # The median distance fixes the scale that the concentrated part is too small by.
     scale = _quantile(final, keys, "_ln", [0.5], 1 / 64).select(*keys, F.greatest(F.lit(1.0), F.exp("_q0") / CHI2_MEDIAN_4).alias("_scale"))
     distance = F.col("_d2") / F.col("_scale")
-    return final.join(checkpoint(scale), keys).select(id_col, distance.alias("distance"), (distance > cutoff).alias("outlier"))
+    return final.filter("_judge").join(checkpoint(scale), keys).select(id_col, distance.alias("distance"), (distance > cutoff).alias("outlier"))
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_cols: tuple[str, ...] = ("lang", "source"), cutoff: float = 30.0) -> DataFrame:

@@ -187,6 +187,20 @@ def test_outliers_go_and_clean_rows_stay(spark):
     assert all(got[i] for i in range(400)) and not any(got[400 + i] for i in range(20))
 
 
+def test_small_groups_are_judged_by_a_pool(spark):
+    from lectern.llm.quality_rules import quality_rules
+
+    rng = random.Random(11)
+    spam = lambda: " ".join(w + "***" for w in prose(rng, 200).split())
+    rows = [(i, prose(rng, rng.randrange(60, 400)), "en", "s") for i in range(200)]
+    # A small source of a large language, and small languages; each with one row of symbols.
+    rows += [(200 + i, prose(rng, rng.randrange(60, 400)), *[("en", "t"), ("de", "s"), (None, None)][i % 3]) for i in range(30)]
+    rows += [(300 + i, spam(), lang, source) for i, (lang, source) in enumerate([("en", "t"), ("de", "s"), (None, None), ("xx", "y")])]
+    got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert len(got) == len(rows) and all(r.distance is not None for r in got.values())
+    assert all(got[i].kept == (i < 300) for i in got)
+
+
 # --- language, quality, toxicity -------------------------------------------------------------
 
 
