@@ -2,7 +2,10 @@
 
 ``scan_text`` looks for three kinds of secrets in a text, then unwraps encoded
 parts of it and looks again in each decoded layer: percent-encoding, Unicode
-escapes, base64, and zlib or gzip data inside base64. Layers wait in a worklist
+escapes, base64, and zlib or gzip data inside base64. Base64 is joined over line
+ends and read in all four alignments, so it may be wrapped and may stand behind a
+path or a word; what is readable in it, from ``SHORTEST`` characters on, becomes a
+layer, whatever bytes lie around. Layers wait in a worklist
 until none is left; a layer whose text was seen before in the same place is not
 taken again, which ends cycles. Every character of a layer carries the range of
 the original text that it came from, so a find in any layer maps to a span of
@@ -17,12 +20,13 @@ kept, whatever decoding finds; equal spans from several layers count once.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -37,8 +41,17 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 ESCAPED = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+#: A run of 16, or shorter ones on lines of their own, joined over the line ends.
+BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+|[A-Za-z0-9+/_-]++(?=[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]))(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)*+={0,2}")
+STANDARD = str.maketrans("-_", "+/")
+#: No secret and no encoded secret is shorter than "token=" and six characters.
+SHORTEST = 12
+READABLE = re.compile(rf"[^\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f\ud800-\udfff]{{{SHORTEST},}}")
+#: The first bytes of gzip and zlib data.
+MAGIC = re.compile(b"\x1f\x8b\x08|" + b"|".join(re.escape(bytes([a])) + b"[" + b"".join(re.escape(bytes([b])) for b in range(256) if (a * 256 + b) % 31 == 0 and not b & 32) + b"]" for a in range(8, 128, 16)))
 MAX_LAYER = 1 << 24
+CHUNK = 1 << 16
 
 
 def find(text: str) -> list[tuple[str, int, int]]:
@@ -94,38 +107,30 @@ class Found:
     paths: list[str] = field(default_factory=list)
 
 
-def _readable(data: bytes) -> str | None:
+def _inflate(data: memoryview, most: int) -> tuple[bytes, int]:
+    """What gzip or zlib data gives, as far as it is whole, and the bytes it takes; OverflowError beyond ``most``."""
+    unpack, out = zlib.decompressobj(47), []
+    at = size = 0
     try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.95 * len(text) else None
-
-
-def _inflate(data: bytes, most: int) -> bytes | None:
-    """Decompressed gzip or zlib data; None if it is neither; OverflowError beyond ``most``."""
-    if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and (data[0] * 256 + data[1]) % 31 == 0):
-        unpack = zlib.decompressobj(47)
-        try:
-            out = unpack.decompress(data, most)
-        except zlib.error:
-            return None
-        if unpack.unconsumed_tail:
-            raise OverflowError
-        return out
-    return None
+        while at < len(data) and not unpack.eof:
+            out.append(unpack.decompress(data[at : at + CHUNK], most - size + 1))
+            at, size = at + CHUNK, size + len(out[-1])
+            if size > most:
+                raise OverflowError
+    except zlib.error:
+        pass
+    return b"".join(out), min(at, len(data)) - len(unpack.unused_data)
 
 
 def _percent(text: str) -> list[tuple[int, int, str, bool]]:
     """Percent-encoded characters, one part each, so that spans stay exact."""
     out = []
     for m in PERCENT.finditer(text):
-        data, at = bytes.fromhex(m[0].replace("%", "")), 0
-        try:
-            decoded = data.decode("utf-8")
-        except UnicodeDecodeError:
-            continue
-        for c in decoded:
+        at = 0
+        for c in bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "surrogateescape"):
+            if "\udc80" <= c <= "\udcff":  # a byte that is no UTF-8 stays as it stands
+                at += 3
+                continue
             size = 3 * len(c.encode("utf-8"))
             out.append((m.start() + at, m.start() + at + size, c, True))
             at += size
@@ -150,27 +155,84 @@ def _escapes(text: str) -> list[tuple[int, int, str, bool]]:
     return out
 
 
+class Block:
+    """Base64 characters without the line ends between them, and where they stand in the layer."""
+
+    def __init__(self, layer: Layer, start: int, end: int):
+        self.layer, self.end = layer, end
+        self.runs = [m.span() for m in RUN.finditer(layer.text, start, end)]
+        self.token = "".join(layer.text[s:e] for s, e in self.runs)
+        self.upto = [0, *accumulate(e - s for s, e in self.runs)]
+
+    def line(self, i: int) -> int:
+        return bisect_right(self.upto, i, 0, len(self.runs)) - 1
+
+    def place(self, i: int, j: int) -> tuple[int, int]:
+        """The layer's range of characters ``i`` to ``j``, with the padding behind the last one."""
+        a, b = self.line(i), self.line(j - 1)
+        return self.runs[a][0] + i - self.upto[a], self.end if j == len(self.token) else self.runs[b][0] + j - self.upto[b]
+
+    def data(self, shift: int) -> bytes:
+        n = len(self.token) - shift
+        token = self.token[shift : len(self.token) - (n % 4 == 1)].translate(STANDARD)
+        return binascii.a2b_base64(token + "=" * (-len(token) % 4))
+
+    def part(self, shift: int, first: int, last: int, text: str, kind: str) -> Layer:
+        """A layer from the bytes ``first`` to ``last``; each of a text's characters maps to the lines that hold it."""
+        i, j = shift + 8 * first // 6, min(len(self.token), shift + (8 * last - 1) // 6 + 1)
+        a, b = self.line(i), self.line(j - 1)
+        if a == b or kind != "base64":
+            return self.layer.part(*self.place(i, j), text, kind)
+        ranges = [self.layer.range(*self.place(max(i, self.upto[k]), min(j, self.upto[k + 1]))) for k in range(a, b + 1)]
+        starts, ends, at = [], [], first
+        for c in text:
+            size = len(c.encode("utf-8"))
+            starts.append(ranges[self.line(shift + 8 * at // 6) - a][0])
+            ends.append(ranges[self.line(shift + (8 * (at + size) - 1) // 6) - a][1])
+            at += size
+        return Layer(text, starts, ends, (*self.layer.path, kind))
+
+
 def _base64(layer: Layer, found: Found, most: int) -> list[Layer]:
     out = []
     for m in BASE64.finditer(layer.text):
-        token = m[0].rstrip("=")
+        block = Block(layer, m.start(), m.end())
+        token = block.token
         # Words and plain hex are no base64 that is worth a look.
-        if token.isalpha() and (token.islower() or token.isupper() or token.istitle()) or len(token) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(token + "=" * (-len(token) % 4), altchars=b"-_" if "-" in token or "_" in token else None, validate=True)
-        except (binascii.Error, ValueError):
+        if len(token) < 16 or token.isalpha() and (token.islower() or token.isupper() or token.istitle()):
             continue
-        try:
-            inner, kind = _inflate(data, most), "compressed"
-        except OverflowError:
-            found.skipped += 1
-            continue
-        if inner is None:
-            inner, kind = data, "base64"
-        text = _readable(inner)
-        if text is not None:
-            out.append(layer.part(m.start(), m.end(), text, kind))
+        for shift in range(4):
+            data = block.data(shift)
+            at = done = 0
+            while magic := MAGIC.search(data, at):
+                at = magic.start() + 1
+                try:
+                    inner, size = _inflate(memoryview(data)[magic.start() :], most)
+                except OverflowError:
+                    found.skipped += 1
+                    done = at = len(data)
+                    continue
+                text = inner.decode("utf-8", "replace")
+                if READABLE.search(text):
+                    out += _stretches(block, shift, data, done, magic.start())
+                    done = at = magic.start() + size
+                    out.append(block.part(shift, magic.start(), done, text, "compressed"))
+            whole = _stretches(block, shift, data, done, len(data))
+            out += whole
+            if done == len(data) or not done and [len(x.text.encode("utf-8")) for x in whole] == [len(data)]:
+                break  # nothing is left that another alignment could read
+    return out
+
+
+def _stretches(block: Block, shift: int, data: bytes, first: int, last: int) -> list[Layer]:
+    """The readable parts of ``data`` between two bytes."""
+    out, at, text = [], 0, data[first:last].decode("utf-8", "surrogateescape")
+    for m in READABLE.finditer(text):
+        first += len(text[at : m.start()].encode("utf-8", "surrogateescape"))
+        at = m.end()
+        size = len(m[0].encode("utf-8"))
+        out.append(block.part(shift, first, first + size, m[0], "base64"))
+        first += size
     return out
 
 

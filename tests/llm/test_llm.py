@@ -300,6 +300,43 @@ def test_nested_layers_map_to_the_encoded_part(layers):
     assert spans and all(k == "assign" and 10 <= s < e <= 10 + len(inner) for k, s, e in spans)
 
 
+def test_wrapped_and_unaligned_base64_is_read():
+    from lectern.llm.secret_scan import scan_text
+
+    rng = random.Random(12)
+    plain = lambda n: (prose(rng, n) + "\npassword=hunter22222 " + prose(rng, n)).encode()
+    for width, end in ((76, "\n"), (64, "\r\n"), (11, "\n  "), (48, " \n\t")):
+        for n in range(4, 16):
+            for data in (plain(n), gzip.compress(plain(n)), b"\x00\xff" * n + zlib.compress(plain(n))):
+                token = base64.b64encode(data).decode()
+                lines = end.join(token[i : i + width] for i in range(0, len(token), width))
+                for head, tail in (("é: ", " ."), ("-----BEGIN X-----\n", "\n-----END X-----"), ("a word\n", "\nand more")):
+                    got = scan_text(head + lines + tail)
+                    spans = [s for s in got.spans if s not in got.base]
+                    assert any(k == "assign" for k, _, _ in spans), (width, n, head)
+                    # Neighbours may decode to some characters more, never to less than the secret's lines.
+                    assert any(s < len(head) + len(lines) and e > len(head) for k, s, e in spans if k == "assign")
+    token = base64.b64encode(plain(20)).decode()
+    lines = "\n".join(token[i : i + 76] for i in range(0, len(token), 76))
+    (_, start, end), = [s for s in scan_text(lines).spans if s[0] == "assign"]
+    inside = base64.b64decode(lines[start:end])
+    assert b"password=hunter22222" in inside and len(inside) <= 2 * 57
+    for head in ("https://h.example/a/", "https://h.example/ab-c/", "https://h.example/abc_", "id-1/"):
+        for raw in (b"password=hunter22222", gzip.compress(b"password=hunter22222")):
+            text = head + base64.b64encode(raw).decode().rstrip("=") + " ."
+            got = scan_text(text).spans
+            assert any(k == "assign" and s < e <= len(text) - 2 and s >= 10 for k, s, e in got) or head == "id-1/" and got, head
+
+
+def test_percent_runs_are_read_around_other_bytes():
+    from lectern.llm.secret_scan import scan_text
+
+    run = "".join(f"%{b:02X}" for b in b"\xff\xe9secret=hunter22\xfe\xc3")
+    (_, start, end), = scan_text("é " + run).spans
+    assert bytes.fromhex(("é " + run)[start:end].replace("%", "")) == b"secret=hunter22"
+    assert [s[0] for s in scan_text(base64.b64encode(b"\xfftoken=hunter22\xff\xff").decode()).spans] == ["assign"]
+
+
 def test_scan_ends_and_handles_odd_input(spark):
     from lectern.llm import secret_scan as S
 
