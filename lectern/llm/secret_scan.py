@@ -11,8 +11,11 @@ taken again, which ends cycles. Every character of a layer carries the range of
 the original text that it came from, so a find in any layer maps to a span of
 the original, in code points.
 
-A decompressed layer may hold at most ``max_layer`` characters; a larger one is
-skipped and counted in ``skipped`` (a bound against decompression bombs).
+A decompressed layer of over ``max_layer`` characters is never held whole: it is
+inflated and scanned in windows, cut where no find and no encoded part can lie
+across. Where nothing in a whole window allows a cut, the windows overlap by half,
+the layer counts in ``skipped``, and its encoded part is ``opaque``: ``redact``
+replaces all of it.
 
 Defined results: null text counts as empty; spans of the given text are always
 kept, whatever decoding finds; equal spans from several layers count once.
@@ -21,12 +24,14 @@ kept, whatever decoding finds; equal spans from several layers count once.
 from __future__ import annotations
 
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -50,6 +55,8 @@ SHORTEST = 12
 READABLE = re.compile(rf"[^\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f\ud800-\udfff]{{{SHORTEST},}}")
 #: The first bytes of gzip and zlib data.
 MAGIC = re.compile(b"\x1f\x8b\x08|" + b"|".join(re.escape(bytes([a])) + b"[" + b"".join(re.escape(bytes([b])) for b in range(256) if (a * 256 + b) % 31 == 0 and not b & 32) + b"]" for a in range(8, 128, 16)))
+#: A character that no find and no encoded part holds, or a space behind what is no keyword and before a word.
+CUT = re.compile(r"""[^A-Za-z0-9+/_.=:"'%\\\s-]|(?<=[^dtnyDTNY"':=\s])\x20(?=[^\s:=])""", re.ASCII)
 MAX_LAYER = 1 << 24
 CHUNK = 1 << 16
 
@@ -69,8 +76,14 @@ class Layer:
     starts: list[int] | None = None
     ends: list[int] | None = None
     path: tuple[str, ...] = ()
+    #: The range of all characters, where it is one; stands for both lists.
+    span: tuple[int, int] | None = None
+    #: False for the windows of a layer after the first.
+    counts: bool = True
 
     def range(self, start: int, end: int) -> tuple[int, int]:
+        if self.span:
+            return self.span
         if self.starts is None or self.ends is None:
             return start, end
         return min(self.starts[start:end]), max(self.ends[start:end])
@@ -83,6 +96,10 @@ class Layer:
         at = 0
         for start, end, new, _ in [*parts, (len(self.text), len(self.text), "", False)]:
             text.append(self.text[at:start])
+            if self.span:
+                text.append(new)
+                at = end
+                continue
             starts += self.starts[at:start] if self.starts is not None else range(at, start)
             ends += self.ends[at:start] if self.ends is not None else range(at + 1, start + 1)
             if new:
@@ -91,11 +108,12 @@ class Layer:
                 starts += [low] * len(new)
                 ends += [high] * len(new)
             at = end
+        if self.span:
+            return Layer("".join(text), path=(*self.path, kind), span=self.span)
         return Layer("".join(text), starts, ends, (*self.path, kind))
 
     def part(self, start: int, end: int, new: str, kind: str) -> Layer:
-        low, high = self.range(start, end)
-        return Layer(new, [low] * len(new), [high] * len(new), (*self.path, kind))
+        return Layer(new, path=(*self.path, kind), span=self.range(start, end))
 
 
 @dataclass
@@ -104,22 +122,72 @@ class Found:
     spans: list[tuple[str, int, int]]
     layers: int = 0
     skipped: int = 0
+    opaque: list[tuple[int, int]] = field(default_factory=list)
     paths: list[str] = field(default_factory=list)
 
 
-def _inflate(data: memoryview, most: int) -> tuple[bytes, int]:
-    """What gzip or zlib data gives, as far as it is whole, and the bytes it takes; OverflowError beyond ``most``."""
-    unpack, out = zlib.decompressobj(47), []
-    at = size = 0
+def _unpacked(data: memoryview) -> Iterator[tuple[bytes, int]]:
+    """What gzip or zlib data gives, as far as it is whole, in pieces, each with the bytes taken so far."""
+    unpack, rest, at = zlib.decompressobj(47), data[:0], 0
     try:
-        while at < len(data) and not unpack.eof:
-            out.append(unpack.decompress(data[at : at + CHUNK], most - size + 1))
-            at, size = at + CHUNK, size + len(out[-1])
-            if size > most:
-                raise OverflowError
+        while not unpack.eof:
+            if not rest:
+                rest = data[at : at + CHUNK]
+                at += len(rest)
+            piece = unpack.decompress(rest, CHUNK)
+            if not piece and not rest:
+                return
+            rest = unpack.unconsumed_tail
+            yield piece, at - len(rest) - len(unpack.unused_data)
     except zlib.error:
-        pass
-    return b"".join(out), min(at, len(data)) - len(unpack.unused_data)
+        return
+
+
+def _inflate(data: memoryview) -> tuple[bytes | None, int]:
+    """All of what the data gives, None if it is over ``CHUNK`` bytes, and the bytes it takes."""
+    out: list[bytes] | None = []
+    size = taken = 0
+    for piece, taken in _unpacked(data):
+        size += len(piece)
+        if out is not None:
+            out = [*out, piece] if size <= CHUNK else None
+    return None if out is None else b"".join(out), taken
+
+
+def _windows(data: memoryview, like: Layer, found: Found, most: int) -> Iterator[Layer]:
+    """A decompressed layer, in windows of at most ``most`` characters, with the path and span of ``like``."""
+    decode = codecs.getincrementaldecoder("utf-8")("replace").decode
+    parts: list[str] = []
+    held, opaque, counts = 0, False, True
+    for piece in chain((x for x, _ in _unpacked(data)), [None]):
+        parts.append(decode(piece or b"", piece is None))
+        held += len(parts[-1])
+        if held <= most and piece is not None:
+            continue
+        text = "".join(parts)
+        at = 0
+        while len(text) - at > most:
+            cut = _cut(text, at, at + most)
+            if cut is None and not opaque:
+                opaque = True
+                found.skipped += 1
+                found.opaque.append(like.range(0, 0))
+            yield Layer(text[at : cut or at + most], path=like.path, span=like.span, counts=counts)
+            at, counts = cut or at + max(1, most // 2), False
+        parts, held = [text[at:]], len(text) - at
+    yield Layer(parts[0], path=like.path, span=like.span, counts=counts)
+
+
+def _cut(text: str, start: int, end: int) -> int | None:
+    """The last place between two where no find and no encoded part can lie across."""
+    back = 1 << 10
+    while True:
+        low = max(start + 1, end - back)
+        if at := max((m.start() for m in CUT.finditer(text, low, end)), default=None):
+            return at
+        if low == start + 1:
+            return None
+        back <<= 4
 
 
 def _percent(text: str) -> list[tuple[int, int, str, bool]]:
@@ -193,8 +261,8 @@ class Block:
         return Layer(text, starts, ends, (*self.layer.path, kind))
 
 
-def _base64(layer: Layer, found: Found, most: int) -> list[Layer]:
-    out = []
+def _base64(layer: Layer, found: Found, most: int) -> list[Layer | Iterator[Layer]]:
+    out: list[Layer | Iterator[Layer]] = []
     for m in BASE64.finditer(layer.text):
         block = Block(layer, m.start(), m.end())
         token = block.token
@@ -206,17 +274,14 @@ def _base64(layer: Layer, found: Found, most: int) -> list[Layer]:
             at = done = 0
             while magic := MAGIC.search(data, at):
                 at = magic.start() + 1
-                try:
-                    inner, size = _inflate(memoryview(data)[magic.start() :], most)
-                except OverflowError:
-                    found.skipped += 1
-                    done = at = len(data)
-                    continue
-                text = inner.decode("utf-8", "replace")
-                if READABLE.search(text):
+                packed = memoryview(data)[magic.start() :]
+                inner, size = _inflate(packed)
+                text = inner.decode("utf-8", "replace") if inner is not None else ""
+                if inner is None or READABLE.search(text):
                     out += _stretches(block, shift, data, done, magic.start())
                     done = at = magic.start() + size
-                    out.append(block.part(shift, magic.start(), done, text, "compressed"))
+                    part = block.part(shift, magic.start(), done, text, "compressed")
+                    out.append(part if inner is not None and len(text) <= most else _windows(packed[:size], part, found, most))
             whole = _stretches(block, shift, data, done, len(data))
             out += whole
             if done == len(data) or not done and [len(x.text.encode("utf-8")) for x in whole] == [len(data)]:
@@ -240,15 +305,21 @@ def scan_text(text: str, max_layer: int = MAX_LAYER) -> Found:
     """All finds of a text and of what can be decoded from it."""
     base = find(text)
     found = Found(base, [])
-    spans, work, seen = set(base), [Layer(text)], set()
+    spans, seen = set(base), set()
+    work: list[Layer | Iterator[Layer]] = [Layer(text)]
     while work:
         layer = work.pop()
-        mark = (hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), layer.range(0, len(layer.text)) if layer.text and layer.starts else (0, 0))
+        if not isinstance(layer, Layer):
+            windows = layer
+            if (layer := next(windows, None)) is None:
+                continue
+            work.append(windows)
+        mark = (hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), layer.range(0, len(layer.text)) if layer.text and layer.path else (0, 0))
         if mark in seen:
             continue
         seen.add(mark)
         if layer.path:
-            found.layers += 1
+            found.layers += layer.counts
             for kind, start, end in find(layer.text):
                 low, high = layer.range(start, end)
                 if (kind, low, high) not in spans:
@@ -292,16 +363,17 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return found.select(id_col, *[count(k) for k in KINDS], F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"), "n_layers", "n_skipped")
 
 
-def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """The rows of ``df`` with each span of ``text_col`` replaced by ``mark``; overlapping spans become one."""
+def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", max_layer: int = MAX_LAYER) -> DataFrame:
+    """The rows of ``df`` with each span and opaque part of ``text_col`` replaced by ``mark``; overlapping ones become one."""
 
     def run(batch: pa.RecordBatch) -> dict:
         columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
         out = []
         for text in batch.column(text_col).to_pylist():
-            spans = scan_text(text).spans if text else []
+            found = scan_text(text or "", max_layer)
+            spans = sorted([(start, end) for _, start, end in found.spans] + found.opaque)
             parts, at = [], 0
-            for _, start, end in spans:
+            for start, end in spans:
                 if end <= at:
                     continue
                 if start >= at:

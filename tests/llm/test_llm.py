@@ -349,6 +349,26 @@ def test_scan_ends_and_handles_odd_input(spark):
     assert [r.text for r in redacted] == ["x [SECRET] y", None, "plain"]
 
 
+def test_large_layers_are_scanned_in_windows(spark):
+    from lectern.llm import secret_scan as S
+
+    rng = random.Random(13)
+    wrap = lambda t: "é " + base64.b64encode(zlib.compress(t.encode())).decode() + " ."
+    inner = base64.b64encode(gzip.compress(b"an inner layer has api_key = hunter22222")).decode()
+    for secret in ("password : hunter22222", inner, "AKIA" + "Z9" * 8, "%70assword%3Dhunter22222", "passwd" + " " * 200 + "=" + " " * 200 + "hunter22222"):
+        for n in range(0, 240, 12):
+            text = wrap(prose(rng, 300 + n) + " " + secret + " " + prose(rng, 300))
+            found = S.scan_text(text, max_layer=1000)
+            assert {(s, e) for _, s, e in found.spans} == {(2, len(text) - 2)} and found.skipped == 0, (secret, n)
+            assert found.spans == S.scan_text(text).spans and found.layers >= 1
+    big = wrap("filler, " * (S.MAX_LAYER // 4) + "password=hunter22222")
+    assert [k for k, _, _ in S.scan_text(big).spans] == ["assign"]
+    # Without a place to cut, the whole encoded part goes.
+    texts = [big, wrap("x" * S.MAX_LAYER + "y" * 10), wrap("filler, " * (S.MAX_LAYER // 4))]
+    redacted = [r.text for r in S.redact(docs_of(spark, texts)).orderBy("doc_id").collect()]
+    assert redacted == ["é [SECRET] ."] * 2 + texts[2:]
+
+
 # --- decontamination -------------------------------------------------------------------------
 
 
