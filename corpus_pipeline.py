@@ -4,7 +4,8 @@ Quality rules drop documents, the n-gram Jaccard join keeps the least id of each
 group of near duplicates, decontamination drops documents that hold a benchmark
 item, the secret scan cuts secrets out of the texts, and best-fit packing deals
 what is left into sequences. Each stage is written as Parquet in the shared
-folder and read again as the next one's input.
+folder and read again as the next one's input. Each row without a doc_id
+is judged by itself.
 
 No stage has an equivalent in SQL as a whole (robust covariance steps, alignment,
 tokenisation), so ``ORACLE_SQL`` is None and tests compare with plain Python.
@@ -18,6 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lectern.llm.common import checkpoint
 from lectern.llm.decontaminate import find_leaks
 from lectern.llm.jaccard_join import jaccard_components
 from lectern.llm.packing import pack
@@ -28,22 +30,32 @@ from lectern.llm.secret_scan import redact
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key ``_row``: the doc_id, or for each row without one a number above all of them, written so that it stays."""
+    most = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0]
+    unnamed = docs.filter("doc_id is null").withColumn("_row", F.monotonically_increasing_id() + (max(most or 0, 0) + 1))
+    return docs.filter("doc_id is not null").withColumn("_row", F.col("doc_id").cast("long")).unionByName(checkpoint(unnamed))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the outlier test keep."""
-    kept = quality_rules(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    rows = _keyed(docs)
+    kept = quality_rules(rows, "_row").filter("kept").select("_row")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least id of each component of documents with a similarity of 0.8 on five-word shingles."""
-    groups = jaccard_components(docs, k=5, percent=80)
-    return docs.join(groups.filter("doc_id = component_id").select("doc_id"), "doc_id", "left_semi")
+    """The least id of each component of documents with a similarity of 0.8 on five-word shingles; no id comes last."""
+    rows = _keyed(docs)
+    groups = jaccard_components(rows, "_row", k=5, percent=80)
+    return rows.join(groups.filter("_row = component_id").select("_row"), "_row", "left_semi").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
-    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti")
+    rows = _keyed(docs)
+    leaks = find_leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "_row")
+    return rows.join(leaks.select("_row").distinct(), "_row", "left_anti").select(*docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -557,3 +557,16 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
         kept = now
     pieces = C.run(spark, sf_dir)
     assert {r.doc_id for r in pieces.select("doc_id").collect()} == set(kept)
+
+
+def test_pipeline_judges_rows_without_an_id(spark, tmp_path):
+    import corpus_pipeline as C
+
+    rng = random.Random(14)
+    clean, copy, twin, item = (prose(rng, 120) for _ in range(4))
+    rows = [(None, clean), (None, "too short"), (None, copy), (2, copy), (1, "too short"), (None, twin), (None, twin), (None, prose(rng, 60) + " " + item + " " + prose(rng, 60)), (3, prose(rng, 90))]
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    for keep in ([0, 2, 3, 5, 6, 7, 8], [0, 3, 5, 7, 8], [0, 3, 5, 8]):
+        frame = C.STAGES[[7, 5, 4].index(len(keep))][1](spark, frame, str(tmp_path)).cache()
+        assert Counter((r.doc_id, r.text) for r in frame.collect()) == Counter(rows[k] for k in keep)
