@@ -23,7 +23,8 @@ def nfd_phonemes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def phonemize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = F.concat(F.left("text", F.lit(60)), F.lit(" [[ tˈɛst ]] "), F.right("text", F.lit(30)))
+    """Whole texts with given phonemes after 60 characters."""
+    marked = F.concat(F.left("text", F.lit(60)), F.lit(" [[ tˈɛst ]] "), F.expr("substring(text, 61)"))
     return read(spark, sf_dir, "benchmark").select("item_id", udfs.phonemizer()(marked).alias("sentences"))
 
 

@@ -43,3 +43,12 @@ def test_catalogues(spark, tmp_path):
     assert R.dataset_config(spark, str(tmp_path / "bad.json")).first().sample_rate is None
     ports = spark.createDataFrame([([(80, 1), (22, 2), (22, 3)],)], "p array<struct<privatePort: int, publicPort: int>>")
     assert ports.select(R.private_ports("p")).first()[0].publicPort == 2
+
+
+def test_phonemize_reads_whole_texts(spark, sf_dir):
+    from lectern.plans.registry import QUERIES
+
+    letters = lambda s: sum(c.isalpha() for c in s)
+    got = {r.item_id: sum(letters(s) for s in r.sentences for s in s) for r in QUERIES["phonemize"](spark, sf_dir).collect()}
+    texts = {r.item_id: r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
+    assert got == {i: letters(t) + letters("tˈɛst") for i, t in texts.items()}
