@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,6 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows that an operator's Python code holds as objects at a time.
+ROWS = 1000
+#: The same for rows of a few numbers.
+MANY = 10_000
+#: Bytes of a batch that goes to Python or comes from it, but for a single row.
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,6 +40,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(df: DataFrame) -> None:
+    """Bound what a batch of long texts holds at once in the JVM and in Python."""
+    for key in ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxBytesPerOutputBatch"):
+        df.sparkSession.conf.set(key, BATCH_BYTES)
+
+
 def task_id() -> int:
     context = TaskContext.get()
     return context.partitionId() if context else 0
@@ -40,6 +56,25 @@ def held_out(id_column: str, modulus: int, remainder: int) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus == remainder
 
 
+def trim() -> None:
+    """Give freed memory back, so that a worker that Spark keeps for later tasks holds little in between."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        return
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], rows: int = ROWS) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` over batches of at most ``rows`` rows, with freed memory given back at its end."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(b.slice(low, rows) for b in batches for low in range(0, b.num_rows, rows))
+        trim()
+
+    return tidied
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The 64-bit finaliser of splitmix, for uint64 arrays."""
     with np.errstate(over="ignore"):
@@ -48,23 +83,44 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def bitmap(df: DataFrame, column: str, bits: int = 23, writers: int = 8) -> np.ndarray:
-    """A fixed-size membership filter over a column of longs, false positives only.
+def bits_for(rows: int, least: int = 16, most: int = 26) -> int:
+    """The logarithm of a filter's bits: 16 to 32 for each row, 8 MB at most."""
+    return min(most, max(least, int(rows).bit_length() + 4))
+
+
+def bitmap(df: DataFrame, column: str) -> np.ndarray:
+    """A membership filter over a column of longs, false positives only, sized by the number of rows.
 
-    Each of ``writers`` tasks sends ``2**bits`` bits, whatever the number of rows.
+    Each task sorts its keys' bits into pieces, equal pieces meet, and the driver gets each piece once.
     """
+    keys = df.select(F.col(column).alias("key")).filter("key is not null")
+    bits = bits_for(keys.count())
+    piece = 1 << (bits - 6)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.zeros(1 << bits, dtype=bool)
+        flags = np.zeros(1 << (bits - 3), dtype=np.uint8)
         for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            flags[(mix(keys) >> np.uint64(64 - bits)).astype(np.int64)] = True
-        yield pa.RecordBatch.from_pydict({"bits": [np.packbits(flags).tobytes()]})
+            at = (mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+            np.bitwise_or.at(flags, at >> 3, (128 >> (at & 7)).astype(np.uint8))
+        parts = flags.reshape(-1, piece // 8)
+        some = np.flatnonzero(parts.any(axis=1))
+        if len(some):
+            yield pa.RecordBatch.from_pydict({"part": pa.array(some, pa.int32()), "bits": [zlib.compress(parts[i].tobytes(), 1) for i in some]})
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = np.frombuffer(zlib.decompress(data), dtype=np.uint8)
+                held[part] = held[part] | own if part in held else own
+        if held:
+            yield pa.RecordBatch.from_pydict({"part": pa.array(list(held), pa.int32()), "bits": [x.tobytes() for x in held.values()]})
 
-    out = np.zeros(1 << (bits - 3), dtype=np.uint8)
-    for row in df.select(column).filter(F.col(column).isNotNull()).coalesce(writers).mapInArrow(fill, "bits binary").toLocalIterator():
-        out |= np.frombuffer(row.bits, dtype=np.uint8)
-    return out
+    out = np.zeros((64, piece // 8), dtype=np.uint8)
+    merged = keys.mapInArrow(tidy(fill, MANY), "part int, bits binary").repartition(16, "part").mapInArrow(tidy(merge), "part int, bits binary")
+    for row in merged.toLocalIterator():
+        out[row.part] = np.frombuffer(row.bits, dtype=np.uint8)
+    return out.ravel()
 
 
 def in_bitmap(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -97,21 +153,25 @@ def arrow_map(df: DataFrame, build: Callable[[pa.RecordBatch], dict], schema: st
                 columns = build(batch)
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type, from_pandas=False) for f in arrow], schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def runs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[np.ndarray]]:
-    """Whole runs of equal first columns from sorted batches."""
-    rest: list[np.ndarray] | None = None
+    """Whole runs of equal first columns from sorted batches; batches of one run are joined once, at its end."""
+    held: list[list[np.ndarray]] = []
     for batch in batches:
-        own = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(columns)]
-        if rest is not None:
-            own = [np.concatenate(x) for x in zip(rest, own)]
-        if not len(own[0]):
+        if not batch.num_rows:
             continue
-        cut = int(np.searchsorted(own[0] != own[0][-1], False)) if own[0][0] == own[0][-1] else int(np.flatnonzero(own[0] != own[0][-1])[-1]) + 1
-        if cut:
+        own = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(columns)]
+        first, last = own[0][0], own[0][-1]
+        # Rows before ``cut`` end the runs held so far; the rest may go on in the next batch.
+        cut = int(np.flatnonzero(own[0] != last)[-1]) + 1 if first != last else 0
+        if held and (cut or held[-1][0][-1] != first):
+            done = [*held, [x[:cut] for x in own]]
+            held = []
+            yield [np.concatenate(x) for x in zip(*done)]
+        elif cut:
             yield [x[:cut] for x in own]
-        rest = [x[cut:] for x in own]
-    if rest is not None and len(rest[0]):
-        yield rest
+        held.append([x[cut:] for x in own])
+    if held:
+        yield [np.concatenate(x) for x in zip(*held)]

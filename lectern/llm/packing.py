@@ -19,6 +19,7 @@ alone; an empty table gives an empty result; repeated ids are packed apart.
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 import zlib
@@ -29,13 +30,19 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lectern.llm.common import arrow_map, checkpoint, share, task_id
+from lectern.llm.common import arrow_map, checkpoint, share, small_batches, task_id, tidy
 
 SIZE = 2048
-#: White space for str.split() that is none for the tokenizer.
-ODD_SPACE = re.compile(r"[\x1c-\x1f]")
-#: The parts that the tokenizer's own pattern makes of a word, in any case (fixed pattern).
-PART = regex.compile(r"'[sStTmMdD]|'[rR][eE]|'[vV][eE]|'[lL][lL]|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Texts that are encoded as a whole: white space for str.split() that is none for the tokenizer, and letters whose
+#: lower case hangs on neighbours or on the version of Unicode.
+ODD = re.compile("[\x1c-\x1f\u0130\u03a3\u1c80-\u1cff\ua640-\ua7ff\U00010000-\U0001efff]")
+#: The parts that the tokenizer's own pattern makes of a word in lower case (fixed pattern), and the same for ASCII.
+PART = regex.compile(r"'(?:[stmd]|re|ve|ll)|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+ASCII_PART = re.compile(r"'(?:[stmd]|re|ve|ll)|[a-z]+|[0-9]|[^\sa-z0-9]+")
+MARKS = frozenset(".,;:!?")
+#: What a tokenizer file says if words can be encoded one by one (fixed values).
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+NORMAL = ["NFC", "Replace", "Lowercase"]
 #: Parts that are encoded in one call.
 CALL = 4000
 _CACHES: dict[str, Cache] = {}
@@ -44,53 +51,77 @@ _CACHES: dict[str, Cache] = {}
 class Cache:
     """Token ids of white-space separated words; a word's ids don't depend on its neighbours.
 
-    Holds for tokenizers that split at white space first and drop it. New words
+    Holds for tokenizers that lower-case, split at white space first and mark the
+    ends of words; with any other file each text is encoded as a whole. New words
     are cut into the tokenizer's own parts, and many parts are encoded as one text.
+    At most about ``most`` words are held, and between tasks only those that came
+    up in several batches, so memory does not grow with the input.
     """
 
     def __init__(self, path: str, most: int = 1_000_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.again: set[str] = set()
         self.most = most
+        spec = json.loads(self.tokenizer.to_str())
+        steps = [spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}]
+        kinds = [x.get("type") for x in steps[0].get("normalizers", [])]
+        cuts = [x.get("pattern", {}).get("Regex") for x in steps[1].get("pretokenizers", [])]
+        mark = spec["model"].get("end_of_word_suffix")
+        self.by_word = kinds == NORMAL and cuts[:1] == [SPLIT] and bool(mark)
+        if self.by_word:
+            self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+            self.plain = Tokenizer.from_file(path)
+            self.plain.encode_special_tokens = True
+            self.plain.normalizer = normalizers.Sequence([])
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.last[[i for token, i in spec["model"]["vocab"].items() if token.endswith(mark)]] = True
 
     def many(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        odd = {i: self._whole(t) for i, t in enumerate(texts) if ODD_SPACE.search(t)}
-        words = [[] if i in odd else t.split() for i, t in enumerate(texts)]
+        if not self.by_word:
+            return [self._whole(t) for t in texts]
+        odd = {i: self._whole(t) for i, t in enumerate(texts) if ODD.search(t)}
+        nfc = unicodedata.normalize  # quick where nothing changes
+        words = [[] if i in odd else (t if t.isascii() else nfc("NFC", t)).lower().split() for i, t in enumerate(texts)]
         if len(self.known) > self.most:
-            self.known.clear()
-        self._learn(set().union(*words).difference(self.known))
-        known = self.known
-        return [odd[i] if i in odd else b"".join([known[w] for w in ws]) for i, ws in enumerate(words)]
+            self.shrink()
+        met = set().union(*words)
+        new = met.difference(self.known)
+        self.again |= met - new
+        self._learn(new)
+        ids = self.known.__getitem__
+        return [odd[i] if i in odd else b"".join(map(ids, ws)) for i, ws in enumerate(words)]
+
+    def shrink(self) -> None:
+        """Keep only words that came up in several calls, and those only if they are few."""
+        few = self.again if 2 * len(self.again) < self.most else ()
+        self.known, self.again = {w: self.known[w] for w in few}, set()
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
     def _learn(self, new: set[str]) -> None:
-        cut = {w: PART.findall(w.lower() if w.isascii() else unicodedata.normalize("NFC", w)) for w in new}
-        parts = list({p for ps in cut.values() for p in ps}.difference(self.known))
-        for low in range(0, len(parts), CALL):
-            some = parts[low : low + CALL]
-            made = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            owner = np.array(made.word_ids, dtype=np.int64)
-            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-            if len(first) == len(some):
-                ids = np.array(made.ids, dtype="<u4").tobytes()
-                ends = np.append(first[1:], len(owner)) * 4
-                for p, s, e in zip(some, (first * 4).tolist(), ends.tolist()):
-                    self.known[p] = ids[s:e]
-            else:  # a part that lower case cuts up further
-                self.known.update((p, self._whole(p)) for p in some)
-        for w, ps in cut.items():
-            if w not in self.known:
-                self.known[w] = b"".join([self.known[p] for p in ps])
+        known = self.known
+        # A word of letters alone is one part; most others are one with a mark behind it.
+        parts = {w for w in new if w.isalpha()}
+        cut = {w: (w[:-1], w[-1]) if w[-1] in MARKS and w[:-1].isalpha() else (ASCII_PART if w.isascii() else PART).findall(w) for w in new - parts}
+        parts.update(*cut.values())
+        listed = list(parts.difference(known))
+        for low in range(0, len(listed), CALL):
+            some = listed[low : low + CALL]
+            made = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = ((np.flatnonzero(self.last[made]) + 1) * 4).tolist()
+            data = made.tobytes()
+            known.update(zip(some, [data[s:e] for s, e in zip([0, *ends], ends)], strict=True))
+        known.update([(w, b"".join([known[p] for p in own])) for w, own in cut.items()])
 
 
 def cache(path: str) -> Cache:
-    """One per worker process and file."""
+    """One per worker process and file; tasks leave frequent words in it."""
     if path not in _CACHES:
         import os
 
@@ -101,30 +132,30 @@ def cache(path: str) -> Cache:
 
 def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end_id: int = 0) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, and its task and number among that task's pieces of its length."""
+    small_batches(df)
     kind = df.select(id_col).schema[0].dataType.simpleString()
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part, seen = cache(path), task_id(), np.zeros(size + 1, dtype=np.int64)
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                ids, out = batch.column(0).slice(low, 500), []
-                owners = []
-                for i, data in enumerate(tokens.many([t or "" for t in batch.column(1).slice(low, 500).to_pylist()])):
-                    data += end
-                    for k in range(0, len(data), 4 * size):
-                        part_of = data[k : k + 4 * size]
-                        n = len(part_of) // 4
-                        out.append((k // (4 * size), k // 4, n, zlib.crc32(part_of), int(seen[n])))
-                        owners.append(i)
-                        seen[n] += 1
-                if out:
-                    a = np.array(out, dtype=np.int64)
-                    yield pa.RecordBatch.from_pydict(
-                        {"id": ids.take(pa.array(owners)), "piece": a[:, 0].astype(np.int32), "start": a[:, 1], "length": a[:, 2], "ids_crc32": a[:, 3], "task": np.full(len(a), part, dtype=np.int32), "number": a[:, 4]}
-                    )
-
-    made = df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long, task int, number long")
+            ids, out, owners = batch.column(0), [], []
+            for i, data in enumerate(tokens.many([t or "" for t in batch.column(1).to_pylist()])):
+                data += end
+                for k in range(0, len(data), 4 * size):
+                    part_of = data[k : k + 4 * size]
+                    n = len(part_of) // 4
+                    out.append((k // (4 * size), k // 4, n, zlib.crc32(part_of), int(seen[n])))
+                    owners.append(i)
+                    seen[n] += 1
+            if out:
+                a = np.array(out, dtype=np.int64)
+                yield pa.RecordBatch.from_pydict(
+                    {"id": ids.take(pa.array(owners)), "piece": a[:, 0].astype(np.int32), "start": a[:, 1], "length": a[:, 2], "ids_crc32": a[:, 3], "task": np.full(len(a), part, dtype=np.int32), "number": a[:, 4]}
+                )
+        tokens.shrink()
+
+    made = df.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), f"id {kind}, piece int, start long, length long, ids_crc32 long, task int, number long")
     return made.withColumnRenamed("id", id_col)
 
 

@@ -63,16 +63,58 @@ def brute_components(texts, k, percent):
     return {i: (len(s), find(i)) for i, s in enumerate(sets)}
 
 
-@pytest.mark.parametrize("k,percent,short", [(5, 80, 64), (4, 85, 3)])
-def test_components_equal_brute_force(spark, tricky, monkeypatch, k, percent, short):
+SMALL = {"short": 3, "list_bits": 2, "cores": 1, "block": 8, "side": 4}
+
+
+@pytest.mark.parametrize("k,percent,limits", [(5, 80, {}), (4, 85, SMALL), (4, 85, SMALL | {"list_bits": 9})])
+def test_components_equal_brute_force(spark, tricky, k, percent, limits):
     from lectern.llm import jaccard_join as J
 
-    monkeypatch.setattr(J, "SHORT", short)
-    monkeypatch.setattr(J, "BLOCK", 8 if short < 64 else 2048)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(docs_of(spark, tricky), k=k, percent=percent).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(docs_of(spark, tricky), k=k, percent=percent, limits=J.Limits(**limits)).collect()}
     assert got == brute_components(tricky, k, percent)
 
 
+@pytest.mark.parametrize("limits", [{}, SMALL])
+def test_links_equal_brute_force(spark, tricky, limits):
+    from lectern.llm import jaccard_join as J
+
+    links, members = J.jaccard_links(docs_of(spark, tricky), limits=J.Limits(**limits))
+    sets = {}
+    for i, t in enumerate(tricky):
+        w = (t or "").lower().split()
+        own = frozenset(tuple(w[j : j + 4]) for j in range(len(w) - 3)) or (frozenset([tuple(w)]) if w else None)
+        if own:
+            sets.setdefault(own, []).append(i)
+    assert {r.doc_id: r.class_id for r in members.collect()} == {i: min(m) for m in sets.values() for i in m}
+    want = {(min(x[0], y[0]), max(x[0], y[0])) for a, x in sets.items() for b, y in sets.items() if x[0] < y[0] and 100 * len(a & b) >= 85 * len(a | b)}
+    assert {(r.a, r.b) for r in links.collect()} == want and want
+
+
+def test_family_below_the_threshold_is_met_block_by_block(spark):
+    """Near copies that do not link: no task holds more than two blocks, and none is linked."""
+    from lectern.llm import jaccard_join as J
+
+    rng = random.Random(4)
+    base, texts = prose(rng, 120).split(), []
+    for i in range(400):
+        w = list(base)
+        for at in rng.sample(range(0, 120, 6), 4):
+            w[at] = f"y{i}x{at}"
+        texts.append(" ".join(w))
+    texts += [texts[7] + " more", texts[300] + " more"]
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(docs_of(spark, texts), limits=J.Limits(side=64)).collect()}
+    assert got == {i: c for i, (_, c) in brute_components(texts, 4, 85).items()} and len(set(got.values())) > 300
+
+
+def test_rows_without_an_id_and_repeated_rows(spark):
+    from lectern.llm.jaccard_join import jaccard_components
+
+    t, other = "one two three four five six seven", "a text of its own with words"
+    rows = [(None, t), (None, other), (None, None), (3, t), (3, t), (4, t)]
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == Counter([(None, 4, 3), (None, 4, None), (None, 0, None), (3, 4, 3), (3, 4, 3), (4, 4, 3)])
+
+
 @pytest.mark.parametrize("boundary", [1000])
 def test_components_with_either_branch(spark, tricky, monkeypatch, boundary):
     from lectern.llm import jaccard_join as J
