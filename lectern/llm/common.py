@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import tempfile
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_TEMPORARY: dict[str, str] = {}
 #: Rows that an operator's Python code holds as objects at a time.
 ROWS = 1000
 #: The same for rows of a few numbers.
@@ -28,15 +30,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage with reliable files in the folder the session names.
+def _shared(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; where it is unset, and only on one machine, a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if spark.sparkContext.applicationId not in _TEMPORARY:
+        _TEMPORARY[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="lectern-checkpoint-")
+    return _TEMPORARY[spark.sparkContext.applicationId]
 
-    ``spark.checkpoint.dir`` is read from the session. Only where it is unset
-    (tests, a laptop) is a folder of our own set.
-    """
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """The name of a new folder under the shared one."""
+    return f"{_shared(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut lineage with reliable files in the folder that the session names."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lectern-checkpoint-"))
+        sc.setCheckpointDir(_shared(df.sparkSession))
     return df.checkpoint()
 
 

@@ -24,13 +24,15 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lectern.llm.common import arrow_map, checkpoint, share, small_batches, task_id, tidy
+from lectern.llm.common import MANY, arrow_map, checkpoint, share, small_batches, task_id, tidy
 
 SIZE = 2048
 #: Texts that are encoded as a whole: white space for str.split() that is none for the tokenizer, and letters whose
@@ -43,29 +45,32 @@ MARKS = frozenset(".,;:!?")
 #: What a tokenizer file says if words can be encoded one by one (fixed values).
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 NORMAL = ["NFC", "Replace", "Lowercase"]
-#: Parts that are encoded in one call.
-CALL = 4000
-_CACHES: dict[str, Cache] = {}
+#: Parts that are encoded in one call, and characters whose words are told apart at a time.
+CALL, CHUNK = 4000, 8 << 20
+SPACE = re.compile(r"\s")
+_CODERS: dict[str, Coder] = {}
 
 
-class Cache:
-    """Token ids of white-space separated words; a word's ids don't depend on its neighbours.
+def _ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Places of all elements of the runs that begin at ``start``."""
+    ends = np.cumsum(length)
+    return np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class Coder:
+    """Token ids of texts; a word's ids don't depend on its neighbours, so different words are encoded once a chunk.
 
     Holds for tokenizers that lower-case, split at white space first and mark the
-    ends of words; with any other file each text is encoded as a whole. New words
-    are cut into the tokenizer's own parts, and many parts are encoded as one text.
-    At most about ``most`` words are held, and between tasks only those that came
-    up in several batches, so memory does not grow with the input.
+    ends of words; with any other file each text is encoded as a whole. Words are
+    cut into the tokenizer's own parts, and many parts are encoded as one text.
+    Nothing is kept from chunk to chunk.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.again: set[str] = set()
-        self.most = most
         spec = json.loads(self.tokenizer.to_str())
         steps = [spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}]
         kinds = [x.get("type") for x in steps[0].get("normalizers", [])]
@@ -73,61 +78,93 @@ class Cache:
         mark = spec["model"].get("end_of_word_suffix")
         self.by_word = kinds == NORMAL and cuts[:1] == [SPLIT] and bool(mark)
         if self.by_word:
-            self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
             self.plain = Tokenizer.from_file(path)
             self.plain.encode_special_tokens = True
             self.plain.normalizer = normalizers.Sequence([])
             self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
             self.last[[i for token, i in spec["model"]["vocab"].items() if token.endswith(mark)]] = True
 
     def many(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if not self.by_word:
-            return [self._whole(t) for t in texts]
-        odd = {i: self._whole(t) for i, t in enumerate(texts) if ODD.search(t)}
-        nfc = unicodedata.normalize  # quick where nothing changes
-        words = [[] if i in odd else (t if t.isascii() else nfc("NFC", t)).lower().split() for i, t in enumerate(texts)]
-        if len(self.known) > self.most:
-            self.shrink()
-        met = set().union(*words)
-        new = met.difference(self.known)
-        self.again |= met - new
-        self._learn(new)
-        ids = self.known.__getitem__
-        return [odd[i] if i in odd else b"".join(map(ids, ws)) for i, ws in enumerate(words)]
-
-    def shrink(self) -> None:
-        """Keep only words that came up in several calls, and those only if they are few."""
-        few = self.again if 2 * len(self.again) < self.most else ()
-        self.known, self.again = {w: self.known[w] for w in few}, set()
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
-
-    def _learn(self, new: set[str]) -> None:
-        known = self.known
+        out: list[list[bytes]] = [[] for _ in texts]
+        chunk: list[tuple[int, str]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            if not self.by_word or ODD.search(text):
+                out[i].append(np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes())
+                continue
+            low = 0
+            while low < len(text):
+                # A long text is cut at white space.
+                found = SPACE.search(text, low + CHUNK) if len(text) > low + CHUNK else None
+                high = found.start() if found else len(text)
+                chunk.append((i, text[low:high]))
+                size += high - low
+                low = high
+                if size >= CHUNK:
+                    self._chunk(chunk, out)
+                    chunk, size = [], 0
+        self._chunk(chunk, out)
+        return [b"".join(x) for x in out]
+
+    def _chunk(self, chunk: list[tuple[int, str]], out: list[list[bytes]]) -> None:
+        if not chunk:
+            return
+        words = pc.utf8_split_whitespace(pa.array([(t if t.isascii() else unicodedata.normalize("NFC", t)).lower() for _, t in chunk], pa.string()))
+        coded = words.flatten().dictionary_encode()
+        at = coded.indices.to_numpy()
+        ids, start, length = self._words(coded.dictionary.to_pylist())
+        sizes = length[at]
+        data = memoryview(ids[_ragged(start[at], sizes)].tobytes())
+        bounds = (np.append(0, np.cumsum(sizes))[words.offsets.to_numpy()] * 4).tolist()
+        for (i, _), low, high in zip(chunk, bounds, bounds[1:]):
+            out[i].append(bytes(data[low:high]))
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and each word's first place and number of ids in them."""
         # A word of letters alone is one part; most others are one with a mark behind it.
-        parts = {w for w in new if w.isalpha()}
-        cut = {w: (w[:-1], w[-1]) if w[-1] in MARKS and w[:-1].isalpha() else (ASCII_PART if w.isascii() else PART).findall(w) for w in new - parts}
-        parts.update(*cut.values())
-        listed = list(parts.difference(known))
-        for low in range(0, len(listed), CALL):
-            some = listed[low : low + CALL]
+        plain = [w.isalpha() for w in words]
+        number = {w: k for k, w in enumerate(compress(words, plain))}
+        start, length = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        alone, others = np.flatnonzero(plain), np.flatnonzero(~np.array(plain, dtype=bool)).tolist()
+        of, counts = [], []
+        for j in others:
+            w = words[j]
+            own = (w[:-1], w[-1]) if w[-1:] in MARKS and w[:-1].isalpha() else (ASCII_PART if w.isascii() else PART).findall(w)
+            counts.append(len(own))
+            for p in own:
+                of.append(number.setdefault(p, len(number)))
+        parts, first, ids = list(number), [np.zeros(1, dtype=np.int64)], []
+        base = 0
+        for low in range(0, len(parts), CALL):
+            some = parts[low : low + CALL]
             made = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = ((np.flatnonzero(self.last[made]) + 1) * 4).tolist()
-            data = made.tobytes()
-            known.update(zip(some, [data[s:e] for s, e in zip([0, *ends], ends)], strict=True))
-        known.update([(w, b"".join([known[p] for p in own])) for w, own in cut.items()])
-
-
-def cache(path: str) -> Cache:
-    """One per worker process and file; tasks leave frequent words in it."""
-    if path not in _CACHES:
+            ends = np.flatnonzero(self.last[made]) + 1
+            assert len(ends) == len(some)
+            first.append(ends + base)
+            ids.append(made)
+            base += len(made)
+        edges = np.concatenate(first)
+        flat = np.concatenate(ids) if ids else np.zeros(0, dtype="<u4")
+        start[alone], length[alone] = edges[: len(alone)], np.diff(edges)[: len(alone)]
+        if others:
+            pieces_of = np.array(of, dtype=np.int64)
+            sizes = np.diff(edges)[pieces_of]
+            total = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))]
+            start[others], length[others] = total[:-1] + len(flat), np.diff(total)
+            flat = np.concatenate([flat, flat[_ragged(edges[pieces_of], sizes)]])
+        return flat, start, length
+
+
+def coder(path: str) -> Coder:
+    """One per worker process and file."""
+    if path not in _CODERS:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _CACHES[path] = Cache(path)
-    return _CACHES[path]
+        _CODERS[path] = Coder(path)
+    return _CODERS[path]
 
 
 def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end_id: int = 0) -> DataFrame:
@@ -137,10 +174,10 @@ def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part, seen = cache(path), task_id(), np.zeros(size + 1, dtype=np.int64)
+        tokens, part, seen = coder(path), task_id(), np.zeros(size + 1, dtype=np.int64)
         for batch in batches:
             ids, out, owners = batch.column(0), [], []
-            for i, data in enumerate(tokens.many([t or "" for t in batch.column(1).to_pylist()])):
+            for i, data in enumerate(tokens.many(["" if t is None else t for t in batch.column(1).to_pylist()])):
                 data += end
                 for k in range(0, len(data), 4 * size):
                     part_of = data[k : k + 4 * size]
@@ -153,9 +190,8 @@ def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_pydict(
                     {"id": ids.take(pa.array(owners)), "piece": a[:, 0].astype(np.int32), "start": a[:, 1], "length": a[:, 2], "ids_crc32": a[:, 3], "task": np.full(len(a), part, dtype=np.int32), "number": a[:, 4]}
                 )
-        tokens.shrink()
 
-    made = df.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), f"id {kind}, piece int, start long, length long, ids_crc32 long, task int, number long")
+    made = df.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run, MANY), f"id {kind}, piece int, start long, length long, ids_crc32 long, task int, number long")
     return made.withColumnRenamed("id", id_col)
 
 

@@ -53,12 +53,12 @@ def op5_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
 
 
-#: Categories in chain order, as conditions over ``labels``.
-TOXICITY = {"toxic": "toxic = 1", "toxic_junk": "toxic = 1 AND quality = 0", "toxic_prose": "toxic = 1 AND quality = 1"}
+#: Categories in chain order, as conditions over ``labels``: toxic junk, toxic prose, and from both what is toxic at all.
+TOXICITY = {"toxic_junk": "toxic = 1 AND quality = 0", "toxic_prose": "toxic = 1 AND quality = 1", "toxic": "toxic = 1"}
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The toxic documents, with the probabilities of all categories."""
+    """The documents that the last model of the chain finds toxic, with the probabilities of all categories."""
     from lectern.llm import toxicity
 
     documents = table(spark, sf_dir, "documents")
@@ -79,13 +79,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archives are written to the shared folder and read back."""
+    """Archives are written as files in the shared folder and read back; a gap or an open revisit fails the query."""
     from lectern.llm import warc
-    from lectern.llm.common import checkpoint
+    from lectern.llm.common import checkpoint, shared_folder
 
-    archives = checkpoint(warc.write_archives(table(spark, sf_dir, "pages")))
-    records = warc.read_archives(archives).filter("record_type <> 'quarantined'")
-    return records.select(warc.page_key("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_key("refers_to").alias("refers_to"))
+    folder = shared_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    # Payloads stay out of what is joined.
+    records = warc.resolve(checkpoint(warc.read_archives(warc.archive_files(spark, folder)).drop("payload")))
+    sound = F.col("resolved") & (F.col("record_type") != "quarantined")
+    kind = F.when(sound, F.col("record_type")).otherwise(F.raise_error(F.concat(F.lit("damaged archive: "), F.col("archive_id"), F.lit(" at "), F.col("offset"))))
+    return records.select(warc.page_key("record_id").alias("page_id"), "payload_bytes", "payload_digest", kind.alias("record_type"), warc.page_key("refers_to").alias("refers_to"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,4 +111,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+#: SQL for whole queries. The others need an estimate, a model, a tokenizer, an alignment or a decoder, and are tested
+#: against brute force or held-out labels.
+ORACLES: dict[str, str] = {
+    "op2_jaccard_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END) AS s FROM words
+), sizes AS (
+  SELECT doc_id, len(s) AS n, CASE WHEN len(s) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY s) END AS class_id FROM sets
+), grams AS (SELECT doc_id, unnest(s) AS g FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.other = edges.a)
+SELECT sizes.doc_id, sizes.n AS n_shingles, sizes.class_id, min(reach.other) AS component_id
+FROM sizes JOIN reach ON reach.doc_id = sizes.doc_id GROUP BY ALL""",
+    "op7_suffix_dedup": """
+WITH d AS (
+  SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 400)) AS k FROM (SELECT doc_id, h, unnest(range(0, n - 199)) AS i FROM d)
+), r AS (
+  SELECT doc_id, i FROM w JOIN (SELECT k FROM w GROUP BY k HAVING count(*) > 1) USING (k)
+), marked AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS new FROM r
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked) GROUP BY doc_id, run
+), total AS (
+  SELECT d.doc_id, d.n, d.h, coalesce(sum(b - a), 0)::BIGINT AS gone, count(a) AS spans, coalesce(max(b), 0) AS rest FROM d LEFT JOIN spans ON spans.doc_id = d.doc_id GROUP BY ALL
+), pieces AS (
+  SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS s, a AS e FROM spans
+  UNION ALL SELECT doc_id, rest, n FROM total
+), kept AS (
+  SELECT p.doc_id, string_agg(substr(h, 2 * s + 1, 2 * (e - s)), '' ORDER BY s) AS k FROM pieces p JOIN total t ON t.doc_id = p.doc_id GROUP BY p.doc_id
+)
+SELECT t.doc_id, t.n AS n_bytes, t.gone AS n_removed, t.spans AS n_spans, sha256(unhex(k)) AS kept_sha256 FROM total t JOIN kept ON kept.doc_id = t.doc_id""",
+    "op9_warc": """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::BIGINT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM p""",
+}

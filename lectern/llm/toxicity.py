@@ -5,7 +5,9 @@ a few text statistics, and every model after the first also sees the
 probabilities of the categories before it. In training these come from
 out-of-fold predictions: a row's probability is given by a model that was
 fitted on the other folds, so later models learn from inputs of the quality
-that they meet when a new text is judged.
+that they meet when a new text is judged. Copies of a text share its fold, which
+comes from a hash of the text. The query decides by the last category, so every
+model of the chain takes part.
 
 Fitting uses a hash sample of about ``max_labels`` labelled rows at most and the
 ``vocabulary`` words that are most telling on it; judging covers whole texts.
@@ -23,9 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.llm.common import arrow_map, share, texts_of
+from lectern.llm.common import arrow_map, checkpoint, share, small_batches, texts_of, tidy
 from lectern.llm.pairwise_quality import FEATURES, features, sampled_labels
 
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -63,9 +66,9 @@ def predict(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
 
 
-def fit_chain(x: np.ndarray, labels: np.ndarray, folds: int = 5) -> dict:
-    """Models in order, and for each category the threshold with the best F1 out of fold."""
-    fold = np.arange(len(x)) % folds
+def fit_chain(x: np.ndarray, labels: np.ndarray, keys: np.ndarray, folds: int = 5) -> dict:
+    """Models in order, and for each category the threshold with the best F1 out of fold; rows of one key share a fold."""
+    fold = np.asarray(keys).astype(np.int64) % folds
     weights, cuts, before = [], [], np.zeros((len(x), 0), dtype=np.float32)
     for k in range(labels.shape[1]):
         y, own = labels[:, k].astype(np.float32), np.concatenate([x, before], axis=1)
@@ -103,11 +106,13 @@ def matrix(texts: list[str], model: dict) -> np.ndarray:
 
 def train(documents: DataFrame, labels: DataFrame, categories: dict[str, str], id_col: str = "doc_id", text_col: str = "text", max_labels: int = 10_000, vocabulary: int = 512) -> dict:
     """``categories``: names in chain order, each with an SQL condition over the columns of ``labels``."""
+    small_batches(documents)
     names = list(categories)
     marks = labels.select(F.col(id_col), *[F.coalesce(F.expr(c), F.lit(False)).cast("int").alias(f"_y{k}") for k, c in enumerate(categories.values())])
     chosen = sampled_labels(marks, id_col, max_labels)
     ys = [f"_y{k}" for k in range(len(names))]
-    rows = documents.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_t")).join(F.broadcast(chosen), id_col).select("_t", *ys)  # max_labels rows of a few numbers
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("_t")
+    rows = checkpoint(documents.select(F.col(id_col), text).join(F.broadcast(chosen), id_col).select("_t", *ys))  # max_labels rows of a few numbers
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, hits = Counter(), Counter()
@@ -122,31 +127,40 @@ def train(documents: DataFrame, labels: DataFrame, categories: dict[str, str], i
     flags = " + ".join(ys)
     total, marked = rows.agg(F.count("*"), F.coalesce(F.sum(F.expr(f"int({flags} > 0)")), F.lit(0))).first()
     rate = marked / total if total else 0.0
-    counts = rows.mapInArrow(tally, "w string, n long, h long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("h").alias("h")).filter("n >= 4")
+    counts = rows.mapInArrow(tidy(tally), "w string, n long, h long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("h").alias("h")).filter("n >= 4")
     # How far the share of marked rows among those with the word is from the share among all, in standard errors.
     far = F.abs(F.col("h") - F.col("n") * rate) / F.sqrt(F.col("n") * (rate * (1 - rate)) + 0.25)
     telling = counts.orderBy(far.desc(), "w").limit(vocabulary).select("w").collect()
     model = {"names": names, "vocabulary": {r["w"]: i for i, r in enumerate(telling)}}
-    found = rows.orderBy(F.xxhash64("_t"), "_t", *ys).select("_t", *ys)
     shared = share(documents, model["vocabulary"])
 
     def describe(batch: pa.RecordBatch) -> dict:
-        known = shared.value
-        out = texts_of(batch, "_t")
-        return {"x": [features(t) for t in out], "w": [sorted(known[w] for w in known.keys() & words(t)) for t in out]} | {y: batch.column(y) for y in ys}
-
-    got = arrow_map(found, describe, "x array<double>, w array<int>, " + ", ".join(f"{y} int" for y in ys)).collect()
-    x = np.array([r["x"] for r in got], dtype=float).reshape(len(got), FEATURES)
+        known, n = shared.value, len(shared.value)
+        out: dict = {"h": [], "x": [], "w": []}
+        for t in texts_of(batch, "_t"):
+            has = np.zeros(n, dtype=np.uint8)
+            has[[known[w] for w in known.keys() & words(t)]] = 1
+            out["h"].append(xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) >> 1)
+            out["x"].append(np.array(features(t)).tobytes())
+            out["w"].append(np.packbits(has).tobytes())
+        return out | {y: batch.column(y) for y in ys}
+
+    got = arrow_map(rows, describe, "h long, x binary, w binary, " + ", ".join(f"{y} int" for y in ys)).collect()
+    got.sort(key=lambda r: (r["h"], *[r[y] for y in ys]))
+    shared.destroy()
+    x = np.array([np.frombuffer(r["x"]) for r in got]).reshape(len(got), FEATURES)
     model |= {"mean": x.mean(axis=0) if len(x) else np.zeros(FEATURES), "std": (x.std(axis=0) if len(x) else np.zeros(FEATURES)) + 1e-6}
     full = np.zeros((len(got), FEATURES + len(model["vocabulary"])), dtype=np.float32)
     full[:, :FEATURES] = np.clip((x - model["mean"]) / model["std"], -5, 5)
     for i, r in enumerate(got):
-        full[i, [FEATURES + k for k in r["w"]]] = 1.0
-    return model | fit_chain(full, np.array([[r[y] for y in ys] for r in got], dtype=np.float32).reshape(len(got), len(ys)))
+        full[i, FEATURES:] = np.unpackbits(np.frombuffer(r["w"], dtype=np.uint8), count=len(model["vocabulary"]))
+    labelled = np.array([[r[y] for y in ys] for r in got], dtype=np.float32).reshape(len(got), len(ys))
+    return model | fit_chain(full, labelled, np.array([r["h"] for r in got], dtype=np.int64))
 
 
 def judge(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col`` and, for each category in chain order, ``p_<name>`` and ``is_<name>``."""
+    small_batches(df)
     shared, names = share(df, model), model["names"]
 
     def run(batch: pa.RecordBatch) -> dict:

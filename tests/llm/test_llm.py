@@ -128,8 +128,10 @@ def test_connected_components_chain_and_star(spark):
     from lectern.llm.components import connected_components
 
     edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 20)] + [(7, 7)]
-    got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {**{i: 0 for i in range(31)}, **{100 + i: 100 for i in range(20)}}
+    for few in (0, 10, 1000):
+        got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), few).collect()}
+        assert got == {**{i: 0 for i in range(31)}, **{100 + i: 100 for i in range(20)}}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 # --- repeated strings ------------------------------------------------------------------------
@@ -154,6 +156,41 @@ def test_suffix_array_and_prefixes():
                 assert before[b] == a and common[b] == n
 
 
+def test_both_induced_sorts_agree_and_recursion_goes_deep(monkeypatch):
+    from lectern.llm import suffix_array as A
+
+    rng, depth, deepest = random.Random(12), [0], [0]
+    inner = A.suffix_array
+
+    def counted(t, alphabet=256):
+        depth[0] += 1
+        deepest[0] = max(deepest[0], depth[0])
+        try:
+            return inner(t, alphabet)
+        finally:
+            depth[0] -= 1
+
+    monkeypatch.setattr(A, "suffix_array", counted)
+    for trial in range(60):
+        if trial % 2:  # a Fibonacci word, whose numbers repeat on every level
+            a, b = b"b", b"a"
+            for _ in range(12 + trial % 5):
+                a, b = b, b + a
+            s = b
+        else:
+            words = [bytes(rng.randrange(97, 100) for _ in range(rng.randrange(1, 6))) for _ in range(40)]
+            s = b" ".join(rng.choice(words) for _ in range(400)) * 2
+        want = sorted(range(len(s)), key=lambda i: s[i:])
+        t = np.frombuffer(s, dtype=np.uint8)
+        for limit in (512, 0):
+            monkeypatch.setattr(A, "ALPHABET", limit)
+            assert counted(t).tolist() == want
+    assert deepest[0] >= 3
+    wide = np.array([rng.randrange(5000) for _ in range(3000)] * 2)
+    assert inner(wide, 5000).tolist() == sorted(range(6000), key=lambda i: wide[i:].tolist())
+    assert inner(np.zeros(5000, dtype=np.uint8)).tolist() == list(range(4999, -1, -1))
+
+
 def brute_removed(texts, length):
     raws = [(t or "").encode() for t in texts]
     seen = Counter(r[i : i + length] for r in raws for i in range(len(r) - length + 1))
@@ -177,6 +214,52 @@ def test_repeated_strings_equal_brute_force(spark, tricky):
     assert got == brute_removed(texts, 200)
 
 
+def test_a_common_passage_is_dealt_to_several_shards(spark):
+    """Many different contexts of one passage: the same result whether its contents share a shard or not."""
+    from lectern.llm import suffix_dedup as S
+
+    rng = random.Random(13)
+    passage = prose(rng, 22)
+    texts = [prose(rng, 12) + " " + passage + " " + prose(rng, 12) for _ in range(60)]
+    texts += [t[:40] + texts[0][40:] for t in texts[:10]]
+    want = brute_removed(texts, 200)
+    assert sum(x[1] > 0 for x in want.values()) > 50
+    for split in (4, 4096):
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in S.digest(S.dedup(docs_of(spark, texts), split=split)).collect()}
+        assert got == want
+
+
+def test_repeated_strings_without_ids_and_with_repeated_ones(spark):
+    from lectern.llm import suffix_dedup as S
+
+    rng = random.Random(15)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(None, a), (1, a), (2, b), (2, c), (3, c[:300]), (None, None)]
+    got = Counter((r.doc_id, r.n_removed) for r in S.digest(S.dedup(spark.createDataFrame(rows, "doc_id long, text string"))).collect())
+    assert got == Counter([(None, len(a)), (1, len(a)), (2, 0), (2, 300), (3, 300), (None, 0)])
+
+
+def test_judged_lists_do_not_hang_on_batches():
+    import pyarrow as pa
+
+    from lectern.llm.suffix_dedup import _judged
+
+    rng = random.Random(16)
+    rows = sorted((rng.randrange(6), rng.randrange(4), rng.randrange(1, 3), rng.randrange(9), rng.randrange(9)) for _ in range(60))
+    names = ["anchor", "content", "times", "id", "start"]
+    whole = pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*rows)))))
+
+    def result(size):
+        out = [b.to_pylist() for b in _judged(iter([whole.slice(k, size) for k in range(0, 60, size)]), 2)]
+        return {(r["anchor"], r["content"]): r for part in out for r in part}
+
+    want = result(60)
+    for size in (1, 2, 7, 25):
+        got = result(size)
+        for key, r in want.items():  # what needs comparing may grow, never shrink
+            assert got[key]["whole"] == r["whole"] and got[key]["open"] >= r["open"] and got[key]["block"] == r["block"]
+
+
 def test_repeated_strings_of_long_texts_in_parts(spark, monkeypatch):
     from lectern.llm import suffix_dedup as S
 
@@ -219,6 +302,88 @@ def test_statistics_equal_brute_force(spark, tricky):
         assert not (r.base_failed and r.kept)
 
 
+def brute_mcd(vectors, floors, support=0.75, steps=12):
+    """The same estimator on one group's rows in numpy; cells and bins as documented."""
+    floors = np.array(floors)
+    cells = {}
+    for v in vectors:
+        cells.setdefault(tuple(np.floor(v / (floors / 5)).astype(int)), []).append(v)
+    n = np.array([len(c) for c in cells.values()], dtype=float)
+    x = np.array([np.mean(c, axis=0) for c in cells.values()])
+    s1 = np.array([np.sum(c, axis=0) for c in cells.values()])
+    s2 = np.array([sum(np.outer(v, v) for v in c) for c in cells.values()])
+
+    def quantile(values, q, width):
+        order = np.argsort(np.floor(values / width), kind="stable")
+        upto = np.cumsum(n[order])
+        return (np.floor(values[order][np.searchsorted(upto, q * n.sum())] / width) + 1) * width
+
+    def far(m, c):
+        lower = np.linalg.cholesky(c + np.diag(floors**2))
+        z = np.linalg.solve(lower, (x - m).T)
+        return (z**2).sum(axis=0), 2 * np.log(np.diag(lower)).sum()
+
+    m = np.array([quantile(x[:, i], 0.5, 0.01) for i in range(4)])
+    u = np.array([np.sqrt(((quantile(x[:, i], 0.75, 0.01) - quantile(x[:, i], 0.25, 0.01)) / 1.349) ** 2 + floors[i] ** 2) for i in range(4)])
+    z = (x - m) / u
+    norm = np.sqrt((z**2).sum(axis=1))
+    half = quantile(norm, 0.5, 1 / 64)
+    shape = lambda v: (v * n[:, None]).T @ v / n.sum() * np.outer(u, u)
+    starts = [np.diag(u**2), shape(np.tanh(z)), shape(z / np.maximum(norm, 1e-9)[:, None]), shape(np.where(norm[:, None] <= half, z, 0.0))]
+    best = None
+    for c in starts:
+        mean, det = m, far(m, c)[1]
+        for step in range(steps):
+            d, _ = far(mean, c)
+            ln = np.log(d + 1e-9)
+            own = ln < quantile(ln, support, 1 / 64)
+            mean = s1[own].sum(axis=0) / n[own].sum()
+            c = s2[own].sum(axis=0) / n[own].sum() - np.outer(mean, mean)
+            was, det = det, far(mean, c)[1]
+            if step and abs(det - was) < 1e-3:
+                break
+        if best is None or det < best[0]:
+            best = (det, mean, c)
+    d, _ = far(best[1], best[2])
+    scale = max(1.0, np.exp(quantile(np.log(d + 1e-9), 0.5, 1 / 64)) / 3.3567)
+    lower = np.linalg.cholesky(best[2] + np.diag(floors**2))
+    return lambda v: (np.linalg.solve(lower, np.asarray(v) - best[1]) ** 2).sum() / scale
+
+
+def test_distances_equal_numpy(spark):
+    from pyspark.sql import functions as F
+
+    from lectern.llm import quality_rules as Q
+
+    rng = np.random.default_rng(5)
+    made = {("=a", "=s"): rng.normal([1.6, 0.5, 0.4, 0.3], [0.1, 0.6, 0.5, 0.8], (400, 4)), ("=b", "=s"): rng.normal([1.2, 2.5, 0.1, 1.3], [0.3, 0.2, 0.9, 0.5], (300, 4))}
+    made["=a", "=s"][:60] += [2.0, 3.0, 0.0, 3.0]
+    rows = [(*k, *map(float, v)) for k, vs in made.items() for v in vs]
+    names = list(Q.FEATURES)
+    df = spark.createDataFrame(rows, "_g0 string, _g1 string, " + ", ".join(f"{x} double" for x in names))
+    found, small = Q.mcd_estimates(df, ["_g0", "_g1"])
+    assert small
+    got = df.join(found, ["_g0", "_g1"]).select("_g0", "_g1", *names, (Q._squared([F.col(x) for x in names]) / F.col("_scale")).alias("d")).collect()
+    assert len(got) == len(rows)
+    judge = {k: brute_mcd(v, list(Q.FEATURES.values())) for k, v in made.items()}
+    for r in got:
+        want = judge[r._g0, r._g1]([r[x] for x in names])
+        assert abs(r.d - want) < 0.05 * want + 0.05, (r, want)
+    far = [r.d for r in got if r._g0 == "=a" and r.f_word > 3]
+    assert len(far) > 40 and min(far) > 30
+
+
+def test_rows_are_judged_one_by_one_whatever_their_ids(spark):
+    from lectern.llm.quality_rules import quality_rules
+
+    rng = random.Random(17)
+    rows = [(i % 50 if i < 150 else None, prose(rng, 100) if i % 3 else "too short", "en", "s", i) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _g0 int")
+    got = quality_rules(df, carry=("_g0", "text")).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in got) == sorted((r[0] is None, r[0] or 0, r[1]) for r in rows)
+    assert all(r.kept == (r.text != "too short") and r.distance is not None for r in got)
+
+
 def test_outliers_go_and_clean_rows_stay(spark):
     from lectern.llm.quality_rules import quality_rules
 
@@ -309,6 +474,75 @@ def test_toxicity_chain(spark, sf_dir):
     assert not any(r.is_toxic for r in toxicity.judge(df, none).collect())
 
 
+def test_language_id_of_long_texts_and_repeated_ones(spark):
+    from pyspark.sql import functions as F
+
+    from lectern.llm import language_id as L
+
+    rng = random.Random(18)
+    words = {"aa": "kala mata suli pora neva".split(), "bb": "stromb grint flosk druhn werft".split()}
+    text = " ".join(rng.choice(words["aa"]) for _ in range(3000))
+    whole = L.gram_counts(text)
+    window, L.WINDOW = L.WINDOW, 1000
+    try:
+        parts = L.gram_counts(text)
+    finally:
+        L.WINDOW = window
+    assert all((a == b).all() for a, b in zip(whole, parts))
+    rows = [(i, "kala mata", "aa") for i in range(500)] + [(500 + i, " ".join(rng.choice(words[k]) for _ in range(30)), k) for i, k in enumerate(["aa", "bb"] * 20)]
+    model = L.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "text", "lang", F.lit(True))
+    again = L.train(spark.createDataFrame(rows[499:], "doc_id long, text string, lang string"), "text", "lang", F.lit(True))
+    assert (model["dense"] == again["dense"]).all()  # a repeated text is learnt from once
+
+
+def test_language_of_held_out_documents(spark, sf_dir):
+    from lectern.llm.queries import op1_language_id
+
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    out = [(r.lang_pred, lang[r.doc_id]) for r in op1_language_id(spark, sf_dir).collect() if r.held_out and lang[r.doc_id] and r.lang_pred != "und"]
+    assert len(out) > 20 and sum(a == b for a, b in out) > 0.9 * len(out)
+
+
+def test_later_models_use_earlier_probabilities_and_copies_share_a_fold():
+    from lectern.llm import toxicity as T
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 3)).astype(np.float32)
+    first = (x[:, 0] > 0.8).astype(np.float32)
+    both = np.stack([first, np.maximum(first, (x[:, 1] > 1.2).astype(np.float32))], axis=1)
+    model = T.fit_chain(x, both, np.arange(400))
+    verdict = T.run_chain(x, model)[:, 1] >= model["cuts"][1]
+    assert (verdict == (both[:, 1] == 1)).mean() > 0.9
+    cut = {"weights": [model["weights"][0], model["weights"][1].copy()], "cuts": model["cuts"]}
+    cut["weights"][1][3] = 0.0  # the weight of the first category's probability
+    assert ((T.run_chain(x, cut)[:, 1] >= model["cuts"][1]) != verdict).any()
+    # Labels by chance: with copies in one fold, nothing is known of a row's label out of fold.
+    noise = rng.normal(size=(60, 40)).astype(np.float32)
+    marks = rng.integers(0, 2, 60).astype(np.float32)
+    copies, labels, keys = np.repeat(noise, 5, axis=0), np.repeat(marks, 5)[:, None], np.repeat(np.arange(60), 5)
+    apart = T.fit_chain(copies, labels, np.arange(300))["cuts"][0]
+    together = T.fit_chain(copies, labels, keys)["cuts"][0]
+    assert together < apart
+
+
+def test_bradley_terry_reaches_the_least_loss():
+    from lectern.llm import pairwise_quality as P
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 4))
+    y = (x @ [1.0, -2.0, 0.5, 0.0] + rng.logistic(size=300) > 0).astype(int)
+    model = P.fit_bradley_terry(x, y, pairs=4000)
+    z, draw = P._expand(x, model), np.random.default_rng(7)
+    d = z[draw.choice(np.flatnonzero(y == 1), 4000)] - z[draw.choice(np.flatnonzero(y == 0), 4000)]
+    loss = lambda w: np.log1p(np.exp(-d @ w)).sum() + 0.5 * w @ w
+    w = np.zeros(8)
+    for _ in range(4000):  # plain gradient descent
+        w -= 0.0005 * (d.T @ (1 / (1 + np.exp(-(d @ w))) - 1) + w)
+    assert abs(loss(w) - loss(model["w"])) < 1e-3 * loss(w) and np.abs(w - model["w"]).max() < 0.05
+    words = [rng.choice(["a", "b", "c"]) for _ in range(200)]
+    assert P.distinct_triples(words) == len(set(zip(words, words[1:], words[2:]))) and P.distinct_triples(["a", "b"]) == 0
+
+
 # --- secrets ---------------------------------------------------------------------------------
 
 
@@ -508,22 +742,50 @@ def test_plan_uses_complements():
 # --- WARC ------------------------------------------------------------------------------------
 
 
-def test_warc_round_trip_and_dedup(spark):
+def test_warc_round_trip_and_dedup(spark, tmp_path):
     from lectern.llm import warc as W
 
     pages = [(i, None if i == 3 else f"http://x/{i}", h) for i, h in enumerate(["a", "b", "a", None, "", "a" * 70000, "b", "é"])]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     for least, revisits in ((0, {2: 0, 4: 3, 6: 1}), (1, {2: 0, 6: 1}), (2, {})):
-        archives = W.write_archives(df, min_dedup_bytes=least, archive_bytes=200).cache()
-        got = W.read_archives(archives).select(W.page_key("record_id").alias("id"), "uri", "payload_bytes", "payload_digest", "record_type", W.page_key("refers_to").alias("to"), "payload").collect()
+        folder = f"{tmp_path}/{least}"
+        W.write_archives(df, folder, min_dedup_bytes=least)
+        files = list((tmp_path / str(least)).glob("*.warc.gz"))
+        assert files and sum(gzip.decompress(f.read_bytes()).count(b"WARC/1.1\r\n") for f in files) == len(pages)
+        got = W.resolve(W.read_archives(W.archive_files(spark, folder))).select(W.page_key("record_id").alias("id"), "uri", "payload_bytes", "payload_digest", "record_type", W.page_key("refers_to").alias("to"), "payload", "resolved").collect()
         assert len(got) == len(pages)
         for r in got:
             data = (pages[r.id][2] or "").encode()
-            assert (r.payload_bytes, r.payload_digest, r.uri) == (len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), pages[r.id][1])
+            assert (r.payload_bytes, r.payload_digest, r.uri, r.resolved) == (len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), pages[r.id][1], True)
             assert (r.record_type, r.to) == (("revisit", revisits[r.id]) if r.id in revisits else ("response", None))
             assert bytes(r.payload) == (b"" if r.id in revisits else data)
 
 
+def test_warc_rows_without_an_id_and_repeated_rows(spark, tmp_path):
+    from lectern.llm import warc as W
+
+    rows = [(None, "u", "same"), (1, "u", "same"), (1, "u", "same"), (2, None, "same"), (2, "u", "other"), (None, None, None)]
+    W.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{tmp_path}/w")
+    got = W.resolve(W.read_archives(W.archive_files(spark, f"{tmp_path}/w"))).select(W.page_key("record_id").alias("id"), "record_type", "payload_bytes", W.page_key("refers_to").alias("to")).collect()
+    assert Counter(map(tuple, got)) == Counter([(None, "revisit", 4, 1), (1, "response", 4, None), (1, "response", 4, None), (2, "revisit", 4, 1), (2, "response", 5, None), (None, "response", 0, None)])
+
+
+def test_warc_headers_that_lie_are_not_believed(spark):
+    from lectern.llm import warc as W
+
+    sound = W.record("response", 1, "u", b"payload")
+    lie = sound.replace(W.base32_sha1(b"payload").encode(), b"A" * 32, 1)
+    assert lie != sound and W.salvage(W.member(lie)) == ([], [(0, len(W.member(lie)))])
+    long = W.record("response", 1, "u", b"payload").replace(b"WARC-Type", b"X-Payload-Length: 999\r\nWARC-Type")
+    orphan, wrong = W.record("revisit", 2, "u", b"payload", 9), W.record("revisit", 3, "u", b"else", 1)
+    content = b"".join(W.member(x) for x in (long, orphan, wrong, W.record("revisit", 4, "u", b"payload", 1)))
+    df = spark.createDataFrame([("a", bytearray(content))], "archive_id string, content binary")
+    got = {W_id.record_id: (W_id.payload_bytes, W_id.resolved) for W_id in W.resolve(W.read_archives(df)).collect()}
+    assert got == {"urn:page:1": (7, True), "urn:page:2": (None, False), "urn:page:3": (None, False), "urn:page:4": (7, True)}
+    big = W.member(W.record("response", 1, None, b"z" * (17 << 20)))
+    assert big.endswith(b"\0") and len(W.salvage(big)[0]) == 1 and W.salvage(big)[1] == []
+
+
 def test_warc_salvage():
     from lectern.llm import warc as W
 
@@ -548,13 +810,13 @@ def test_warc_salvage():
 # --- all together ----------------------------------------------------------------------------
 
 
-def test_empty_tables_and_clashing_columns(spark):
+def test_empty_tables_and_clashing_columns(spark, tmp_path):
     from pyspark.sql import functions as F
 
-    from lectern.llm import decontaminate, language_id, packing, pairwise_quality, secret_scan, suffix_dedup, warc
+    from lectern.llm import decontaminate, language_id, packing, pairwise_quality, secret_scan, suffix_dedup, toxicity, warc
     from lectern.llm.jaccard_join import jaccard_components
     from lectern.llm.quality_rules import quality_rules
-    from lectern.llm.queries import word_vocabulary
+    from lectern.llm.queries import TOXICITY, word_vocabulary
 
     clash = DOCS + ", id long, n int, start long, score double, component_id long, words string, _t string, length int, task int"
     full = spark.createDataFrame([(i, t, None, None, 1, 5, 5, 5, 0.5, 5, "w", "t", 1, 1) for i, t in enumerate(["some words here", None, "some words here"])], clash)
@@ -569,11 +831,48 @@ def test_empty_tables_and_clashing_columns(spark):
         assert suffix_dedup.dedup(df).count() == n
         assert quality_rules(df).count() == n
         assert packing.pack(df, word_vocabulary()).count() == n
-        assert warc.read_archives(warc.write_archives(df, "doc_id", "lang", "text")).count() == n
+        warc.write_archives(df, f"{tmp_path}/{n}", id_col="doc_id", uri_col="lang", payload_col="text")
+        assert warc.resolve(warc.read_archives(warc.archive_files(spark, f"{tmp_path}/{n}"))).count() == n
+        marks = spark.createDataFrame([(0, 1, 1), (1, 0, 0)], "doc_id long, quality int, toxic int")
+        for of in (marks, marks.filter("false")):
+            assert toxicity.judge(df, toxicity.train(df, of, TOXICITY)).count() == n
         labels = spark.createDataFrame([], "doc_id long, quality int")
         assert pairwise_quality.rank(df, pairwise_quality.train(df, labels, "doc_id", "text", "quality")).count() == n
 
 
+def test_queries_equal_their_sql(spark, sf_dir):
+    import duckdb
+
+    from lectern.llm.queries import ORACLES, QUERIES
+
+    con = duckdb.connect()
+    for name in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    for name, sql in ORACLES.items():
+        want, got = con.execute(sql), QUERIES[name](spark, sf_dir)
+        names = [c[0] for c in want.description]
+        assert sorted(got.columns) == sorted(names), name
+        assert Counter(map(tuple, got.select(*names).collect())) == Counter(want.fetchall()), name
+
+
+def test_pipeline_of_empty_tables_nulls_and_further_columns(spark, tmp_path):
+    import corpus_pipeline as C
+
+    rng = random.Random(19)
+    schema = DOCS + ", _row long, component_id long, distance double, kept boolean, piece int"
+    text, other = prose(rng, 150), prose(rng, 150)
+    rows = [(1, text, None, None, 3, 1, 1, 0.5, False, 1), (2, None, None, None, None, 1, 1, 0.5, False, 1), (3, other, "en", None, 3, None, 1, 0.5, False, 1), (3, other, "en", None, 3, None, 1, 0.5, False, 1), (4, "", "en", "s", 0, 1, 1, 0.5, True, 1)]
+    bench = spark.createDataFrame([(0, prose(rng, 40)), (1, None)], "item_id long, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    full = spark.createDataFrame(rows, schema)
+    for frame, want in ((full, [1, 3]), (full.filter("false"), [])):
+        for name, stage in C.STAGES:
+            last, frame = frame, stage(spark, frame, str(tmp_path)).cache()
+            assert name == "packing" or frame.columns == full.columns
+        assert sorted(r.doc_id for r in last.select("doc_id").collect()) == want
+        assert sorted({r.doc_id for r in frame.select("doc_id").collect()}) == want
+
+
 def test_pipeline_stages_take_effect(spark, sf_dir):
     import corpus_pipeline as C
 
