@@ -10,6 +10,7 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -40,27 +41,44 @@ CUT_MARKS = (";", ":", ",", "—")
 
 
 def split_long(text: str, most: int = 230, least_share: float = 0.7) -> list[str]:
-    """Parts of at most ``most`` characters.
+    """Parts of about ``most`` characters; a mark that follows a full part still joins it.
 
-    Cut after the last mark of the best kind that stands at ``least_share`` of the
-    window or later, else before the last space, else at the window's end.
+    Cut after the last mark of the best kind that stands at ``least_share`` of a
+    part or later, else before the last space that does, else at ``most``.
     """
-    parts, rest = [], text.strip()
-    while len(rest) > most:
-        window, floor = rest[:most], int(most * least_share)
-        at = next((p + 1 for p in (window.rfind(mark) for mark in CUT_MARKS) if p >= floor), 0)
-        if not at:
-            at = window.rfind(" ")
-        if at <= 0:
-            at = most
-        parts.append(rest[:at].strip())
-        rest = rest[at:].strip()
-    return [p for p in [*parts, rest] if p]
+    at, end = len(text) - len(text.lstrip()), len(text.rstrip())
+    places = {kind: [i for i, c in enumerate(text) if c == kind] for kind in (*CUT_MARKS, " ")}
+    parts = []
+    while at < end:
+        cut = end if end - at <= most else at + most
+        for kind, found in places.items() if cut < end else ():
+            last = found[k - 1] if (k := bisect_right(found, at + most)) else -1
+            if last >= at + int(most * least_share):
+                cut = last + (kind != " ")
+                break
+        parts.append(text[at:cut].strip())
+        at = end - len(text[cut:end].lstrip()) if cut < end else end
+    return [p for p in parts if p]
+
+
+def long_parts(most: int = 230) -> Callable[..., Column]:
+    """``split_long`` as a column function."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: None if t is None else split_long(t, most))
 
+    return run
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def long_parts(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else split_long(t))
+
+def all_long_parts(most: int) -> Callable[..., Column]:
+    """An array of sentences with the overlong ones cut."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(sentences: pd.Series) -> pd.Series:
+        return sentences.map(lambda many: None if many is None else [p for s in many if s is not None for p in split_long(s, most)])
+
+    return run
 
 
 def text_symbols(text: str) -> list[list[str]]:
@@ -73,27 +91,23 @@ def phonemize(text: str, g2p: Callable[[str], list[list[str]]] = text_symbols) -
 
     A block keeps one space to its neighbour where the text touches it with white space.
     """
-    sentences: list[list[str]] = []
-    parts = RAW_BLOCK.split(text)
-    for i, part in enumerate(parts):
-        if RAW_BLOCK.fullmatch(part):
-            inner = list(part[2:-2].strip())
-            if not sentences:
-                sentences.append([])
-            if i > 0 and parts[i - 1][-1:].isspace():
-                sentences[-1].append(" ")
-            sentences[-1] += inner
-            if i + 1 < len(parts) and parts[i + 1][:1].isspace():
-                sentences[-1].append(" ")
-        elif part.strip():
-            new = g2p(part.strip() if len(parts) > 1 else part)
-            if i > 0 and sentences and new:
-                sentences[-1] += new[0]
-                new = new[1:]
-            sentences += new
-    while sentences and not any(s.strip() for s in sentences[-1]):
+    # Symbols in order, with None where the function ended a sentence; blocks bring no ends.
+    stream: list[str | None] = []
+    at = 0
+    for block in [*RAW_BLOCK.finditer(text), None]:
+        spoken = text[at : block.start()] if block else text[at:]
+        if spoken.strip():
+            for k, sentence in enumerate(g2p(spoken if spoken == text else spoken.strip())):
+                stream += [None] * (k > 0) + list(sentence)
+        if block:
+            around = text[max(block.start() - 1, 0) : block.start()].isspace(), text[block.end() : block.end() + 1].isspace()
+            stream += [" "] * around[0] + list(block[0][2:-2].strip()) + [" "] * around[1]
+            at = block.end()
+    ends = [i for i, s in enumerate(stream) if s is None]
+    sentences = [_outer(stream[a:b]) for a, b in zip([0, *(i + 1 for i in ends)], [*ends, len(stream)])]
+    while sentences and not "".join(sentences[-1]).strip():
         sentences.pop()
-    return [_outer(s) for s in sentences]
+    return sentences
 
 
 def _outer(symbols: list[str]) -> list[str]:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lectern.functions import text as T
+
 
 def contiguous_runs(df: DataFrame, source: str, order: str, within: list[str] | None = None) -> DataFrame:
     """``run``: number of the contiguous run of equal ``source`` in ``order``.
@@ -65,8 +67,9 @@ def greedy_merge(df: DataFrame, key: str, segment: str, duration: str, text: str
 
     A chunk closes before it would exceed ``hard_max``. While it is tiny it goes
     on; from ``target_min`` on it closes where a segment ends a sentence. A tiny
-    last chunk joins the one before, also beyond ``hard_max``. ``boundary`` is a
-    boolean column: does the segment's text end a sentence?
+    last chunk joins the one before, also beyond ``hard_max``. Texts of chunks
+    are stored in normal form, and chunks without text go before that. ``boundary``
+    is a boolean column: does the segment's text end a sentence?
     """
     rows = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(segment).cast("int").alias("s"), F.col(duration).alias("d"), F.col(text).alias("t"), F.col(boundary).alias("b")))).alias("_rows"))
     start = F.struct(F.array().cast(f"array<{CHUNK}>").alias("chunks"), F.lit(True).alias("closed"))
@@ -75,7 +78,7 @@ def greedy_merge(df: DataFrame, key: str, segment: str, duration: str, text: str
         return F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"), n.cast("int").alias("n"), d.alias("duration"), t.alias("text"))
 
     def is_tiny(c: Column) -> Column:
-        return (c["duration"] < tiny) | (F.length(c["text"]) < tiny_chars)
+        return (c["duration"] < tiny) | (F.length(T.strip(c["text"])) < tiny_chars)
 
     def step(acc: Column, r: Column) -> Column:
         open_ = F.try_element_at(acc.chunks, F.lit(-1))
@@ -87,7 +90,8 @@ def greedy_merge(df: DataFrame, key: str, segment: str, duration: str, text: str
         return F.struct(F.concat(kept, F.array(now)).alias("chunks"), (~is_tiny(now) & (now["duration"] >= target_min) & r.b).alias("closed"))
 
     def tail(acc: Column) -> Column:
-        c = acc.chunks
+        stored = F.transform(acc.chunks, lambda x: chunk(x["first"], x["last"], x["n"], x["duration"], T.normalize_store(x["text"])))
+        c = F.filter(stored, lambda x: x["text"] != "")
         last, prior = F.try_element_at(c, F.lit(-1)), F.try_element_at(c, F.lit(-2))
         both = chunk(prior["first"], last["last"], prior["n"] + last["n"], prior["duration"] + last["duration"], F.concat_ws(" ", prior["text"], last["text"]))
         return F.when((F.size(c) >= 2) & is_tiny(last), F.concat(F.slice(c, 1, F.size(c) - 2), F.array(both))).otherwise(c)

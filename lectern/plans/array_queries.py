@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lectern.functions import arrays as A, maps as M
 from lectern.plans.inputs import read
@@ -61,10 +61,12 @@ def pad_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(most, "conv_id").select("conv_id", "turn", A.pad_to("l", F.col("m"), F.lit(0)).alias("padded"), A.mask(F.size("l"), F.col("m")).alias("mask"))
 
 
-@query("SELECT conv_id, turn FROM conversations WHERE conv_id < 20 ORDER BY length(text) DESC, conv_id, turn")
+@query("SELECT conv_id // 20 AS batch, row_number() OVER (PARTITION BY conv_id // 20 ORDER BY length(text) DESC NULLS LAST, conv_id, turn) - 1 AS place, conv_id, turn FROM conversations")
 def sort_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One batch, longest first; the batch's bounds are the feature."""
-    return read(spark, sf_dir, "conversations").filter("conv_id < 20").orderBy(F.length("text").desc(), "conv_id", "turn").select("conv_id", "turn")
+    """Every batch of twenty conversations, longest text first; a batch's size is bounded, so its sort is."""
+    rows = read(spark, sf_dir, "conversations").select(F.expr("conv_id div 20").alias("batch"), "conv_id", "turn", F.length("text").alias("n"))
+    order = Window.partitionBy("batch").orderBy(F.col("n").desc_nulls_last(), "conv_id", "turn")
+    return rows.select("batch", (F.row_number().over(order) - 1).cast("bigint").alias("place"), "conv_id", "turn")
 
 
 @query(f"SELECT vec_id, CAST(i AS INTEGER) AS frame, round(list_sum(list_transform(a[i * 20 + 1 : i * 20 + 20], lambda x: x * x)) / 20, 9) AS energy FROM ({AUDIO_SQL}), (SELECT unnest(range(3)) AS i)")
@@ -86,25 +88,25 @@ def speech_span_proxy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", "s.start", "s.end", F.col("t.start").alias("trimmed_start"))
 
 
-DURATIONS_SQL = "SELECT item_id, list_transform(string_split(left(text, 40), ' '), lambda w: CAST(length(w) AS INTEGER)) AS d FROM benchmark"
+DURATIONS_SQL = "SELECT item_id, list_transform(string_split(text, ' '), lambda w: CAST(length(w) AS INTEGER)) AS d FROM benchmark"
 
 
 @query(f"SELECT item_id, flatten(list_transform(range(len(d)), lambda i: list_transform(range(d[i + 1]), lambda j: CAST(i AS INTEGER)))) AS path, list_transform(range(len(d)), lambda i: CAST(list_sum(d[1 : i + 1]) AS BIGINT)) AS ends FROM ({DURATIONS_SQL})")
 def duration_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "benchmark").select("item_id", F.transform(F.split(F.left("text", F.lit(40)), " "), lambda w: F.length(w)).alias("d"))
+    rows = read(spark, sf_dir, "benchmark").select("item_id", F.transform(F.split("text", " "), lambda w: F.length(w)).alias("d"))
     return rows.select("item_id", A.expand_durations("d").alias("path"), A.running_sum("d").alias("ends"))
 
 
 @query(f"SELECT item_id, list_transform(d, lambda w: CAST(ceil(w / 3) * 256 AS BIGINT)) AS samples, list_prepend(0, flatten(list_transform(d, lambda w: [w, 0]))) AS spread FROM ({DURATIONS_SQL})")
 def samples_per_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "benchmark").select("item_id", F.transform(F.split(F.left("text", F.lit(40)), " "), lambda w: F.length(w)).alias("d"))
+    rows = read(spark, sf_dir, "benchmark").select("item_id", F.transform(F.split("text", " "), lambda w: F.length(w)).alias("d"))
     return rows.select("item_id", A.samples_per_id(F.transform("d", lambda w: w / 3)).alias("samples"), A.intersperse("d", F.lit(0)).alias("spread"))
 
 
 @query(f"SELECT item_id, list_transform(range(len(d)), lambda i: CAST(list_sum(list_transform(range(CAST(list_sum(d[1 : i]) AS BIGINT), CAST(list_sum(d[1 : i + 1]) AS BIGINT)), lambda j: 256 * (j % 3 + 1))) AS BIGINT)) AS num_samples FROM (SELECT item_id, list_transform(d, lambda x: x + 1) AS d FROM ({DURATIONS_SQL}))".replace("list_sum(d[1 : i])", "coalesce(list_sum(d[1 : i]), 0)"))
 def alignment_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples of made-up ids, summed by groups of a word's length plus one."""
-    rows = read(spark, sf_dir, "benchmark").select("item_id", F.transform(F.split(F.left("text", F.lit(40)), " "), lambda w: F.length(w) + 1).alias("d"))
+    rows = read(spark, sf_dir, "benchmark").select("item_id", F.transform(F.split("text", " "), lambda w: F.length(w) + 1).alias("d"))
     total = F.aggregate("d", F.lit(0), lambda acc, x: acc + x)
     rows = rows.withColumn("ids", F.sequence(F.lit(0), total - 1)).withColumn("n", F.transform("ids", lambda i: (256 * (i % 3 + 1)).cast("bigint")))
     return rows.select("item_id", A.aligned_samples(F.col("ids"), F.col("n"), F.col("d")).alias("num_samples"))
@@ -149,22 +151,22 @@ def map_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", M.sorted_keys("m").alias("names"), F.try_element_at(back, F.col("event_id").cast("string")).alias("first_kept"), F.try_element_at("m", F.col("event_type")).cast("bigint").alias("id_of_type"))
 
 
-@query("SELECT item_id, w.word AS word, w.\"end\" - w.start AS seconds FROM (SELECT item_id, unnest(list_transform(string_split(left(text, 60), ' '), lambda x: {'word': x, 'start': 0.5::DOUBLE, 'end': 0.5::DOUBLE + length(x)})) AS w FROM benchmark)")
+@query("SELECT item_id, w.word AS word, w.\"end\" - w.start AS seconds FROM (SELECT item_id, unnest(list_transform(string_split(text, ' '), lambda x: {'word': x, 'start': 0.5::DOUBLE, 'end': 0.5::DOUBLE + length(x)})) AS w FROM benchmark)")
 def word_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of two recogniser segments a text, as one list."""
     from lectern.functions.phonemes import words_of_segments
 
-    words = F.transform(F.split(F.left("text", F.lit(60)), " "), lambda w: F.struct(w.alias("word"), F.lit(0.5).alias("start"), (F.lit(0.5) + F.length(w)).alias("end")))
+    words = F.transform(F.split("text", " "), lambda w: F.struct(w.alias("word"), F.lit(0.5).alias("start"), (F.lit(0.5) + F.length(w)).alias("end")))
     rows = read(spark, sf_dir, "benchmark").select("item_id", words.alias("w"))
-    segments = F.array(F.struct(F.slice("w", 1, 2).alias("words")), F.struct(F.expr("slice(w, 3, 1000)").alias("words")))
+    segments = F.array(F.struct(F.slice("w", 1, 2).alias("words")), F.struct(F.expr("slice(w, 3, size(w))").alias("words")))
     return rows.select("item_id", F.explode(words_of_segments(segments)).alias("w")).select("item_id", "w.word", (F.col("w.end") - F.col("w.start")).alias("seconds"))
 
 
-@query("SELECT item_id, list_transform(string_split(left(text, 60), ' '), lambda w: CAST(length(w) AS INTEGER)) AS sizes FROM benchmark")
+@query("SELECT item_id, list_transform(string_split(text, ' '), lambda w: CAST(length(w) AS INTEGER)) AS sizes FROM benchmark")
 def symbol_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words as groups of code points with zeros between them."""
     from lectern.functions.phonemes import symbol_groups as groups
 
-    points = F.transform(F.split(F.left("text", F.lit(60)), ""), lambda c: F.when(c == " ", F.lit(0)).otherwise(F.ascii(c)))
-    # A space at the cut would end a group that has nothing in it.
-    return read(spark, sf_dir, "benchmark").select("item_id", groups(F.when(F.substring("text", 60, 1) == " ", F.concat(points, F.array(F.lit(0)))).otherwise(points)).alias("sizes"))
+    points = F.transform(F.split("text", ""), lambda c: F.when(c == " ", F.lit(0)).otherwise(F.ascii(c)))
+    # A last space starts a group that has nothing in it.
+    return read(spark, sf_dir, "benchmark").select("item_id", groups(F.when(F.endswith(F.col("text"), F.lit(" ")), F.concat(points, F.array(F.lit(0)))).otherwise(points)).alias("sizes"))

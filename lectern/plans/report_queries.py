@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lectern.functions import text as T
 from lectern.operators import aggregates as A
 from lectern.operators.rules import overall_verdict
+from lectern.functions.udfs import all_long_parts
 from lectern.operators.sequence import greedy_pack
 from lectern.plans.inputs import ACCENTED, METADATA_SQL, PLAIN, VERDICTS_SQL, metadata, read, verdicts
 from lectern.plans.registry import query
@@ -74,7 +75,7 @@ h AS (SELECT doc_id, CASE WHEN len(done) >= 2 AND length(done[-1]) < 35 AND leng
 
 
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "documents").select("doc_id", T.sentences("text").alias("parts"))
+    rows = read(spark, sf_dir, "documents").select("doc_id", all_long_parts(160)(T.sentences("text")).alias("parts"))
     return rows.select("doc_id", F.posexplode(greedy_pack(F.col("parts"))).alias("chunk", "text"))
 
 

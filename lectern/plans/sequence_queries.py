@@ -8,6 +8,7 @@ from lectern.functions import text as T
 from lectern.operators import sequence as S
 from lectern.plans.inputs import SEGMENTS_SQL, read, segments, timeline
 from lectern.plans.registry import query
+from lectern.plans.text_queries import STORE_SQL
 
 GAP_SQL = """WITH t AS (SELECT user_id AS src, ts, event_id, CASE WHEN event_type <> 'error' THEN epoch_us(ts) / 1e6 END AS s, CASE WHEN event_type <> 'error' THEN epoch_us(ts) / 1e6 + value END AS e FROM events),
 n AS (SELECT src, event_id, coalesce(s, last_value(e IGNORE NULLS) OVER (PARTITION BY src ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS s,
@@ -35,12 +36,13 @@ def padded_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MERGE_SQL = rf"""WITH RECURSIVE s AS (SELECT prefix, seg, duration AS d, text AS t, regexp_matches(regexp_replace(text, '^\s+|\s+$', '', 'g'), '[.!?…]+["'')\]]*$') AS b, row_number() OVER (PARTITION BY prefix ORDER BY seg) AS i FROM ({SEGMENTS_SQL})),
-f AS (SELECT prefix, i, 0 AS chunk, seg AS first, seg AS last, 1 AS n, d AS duration, t AS text, (d >= 1.6 AND length(t) >= 10 AND d >= 2.5 AND b) AS closed FROM s WHERE i = 1
+f AS (SELECT prefix, i, 0 AS chunk, seg AS first, seg AS last, 1 AS n, d AS duration, t AS text, (d >= 1.6 AND length(trim(t)) >= 10 AND d >= 2.5 AND b) AS closed FROM s WHERE i = 1
 UNION ALL SELECT prefix, next, CASE WHEN j THEN chunk ELSE chunk + 1 END, CASE WHEN j THEN first ELSE seg END, seg, CASE WHEN j THEN n + 1 ELSE 1 END, CASE WHEN j THEN duration + d ELSE d END, CASE WHEN j THEN text || ' ' || t ELSE t END,
-CASE WHEN j THEN duration + d >= 2.5 AND length(text || ' ' || t) >= 10 AND b ELSE d >= 2.5 AND length(t) >= 10 AND b END
+CASE WHEN j THEN duration + d >= 2.5 AND length(trim(text || ' ' || t)) >= 10 AND b ELSE d >= 2.5 AND length(trim(t)) >= 10 AND b END
 FROM (SELECT f.*, s.seg, s.d, s.t, s.b, s.i AS next, NOT f.closed AND f.duration + s.d <= 15 AS j FROM f JOIN s ON s.prefix = f.prefix AND s.i = f.i + 1)),
 c AS (SELECT prefix, chunk, arg_max(first, i) AS first, max(last) AS last, max(n) AS n, arg_max(duration, i) AS duration, arg_max(text, i) AS text FROM f GROUP BY prefix, chunk),
-z AS (SELECT *, max(chunk) OVER (PARTITION BY prefix) AS top FROM c),
+k AS (SELECT prefix, row_number() OVER (PARTITION BY prefix ORDER BY chunk) - 1 AS chunk, first, last, n, duration, text FROM (SELECT * REPLACE ({STORE_SQL} AS text) FROM c) WHERE text <> ''),
+z AS (SELECT *, max(chunk) OVER (PARTITION BY prefix) AS top FROM k),
 y AS (SELECT *, lead(n) OVER w AS n2, lead(last) OVER w AS last2, lead(duration) OVER w AS d2, lead(text) OVER w AS t2 FROM z WINDOW w AS (PARTITION BY prefix ORDER BY chunk)),
 x AS (SELECT *, chunk = top AND top > 0 AND (duration < 1.6 OR length(text) < 10) AS gone, chunk = top - 1 AND (d2 < 1.6 OR length(t2) < 10) AS takes FROM y)
 SELECT prefix, CAST(chunk AS INTEGER) AS chunk, first, CASE WHEN takes THEN last2 ELSE last END AS last, CAST(CASE WHEN takes THEN n + n2 ELSE n END AS INTEGER) AS n, round(CASE WHEN takes THEN duration + d2 ELSE duration END, 6) AS duration, CASE WHEN takes THEN text || ' ' || t2 ELSE text END AS text FROM x WHERE NOT gone"""

@@ -121,32 +121,39 @@ def option_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _suspects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = metadata(spark, sf_dir).withColumn("norm", T.normalize_compare("text"))
-    rows = after_first(rows, "norm", "row").withColumn("words", T.tokens("norm"))
-    base = text_rules("text", 200, 4000, 0.9, PLAIN, ACCENTED)
-    repeated = (F.size("words") >= 6) & (10 * T.mode_count("words") >= F.size("words"))
-    rules = [
-        Rule("empty_wav_or_text", (F.col("wav") == "") | (F.col("text") == "")),
-        *base,
-        Rule("code_switch", T.code_switch("text", PLAIN, ACCENTED, 0.15)),
-        Rule("high_token_repetition", repeated, F.concat(T.mode_count("words").cast("string"), F.lit("/"), F.size("words").cast("string"))),
+    """Issues of all rows; an empty file name or text is its row's only issue."""
+    empty = (F.coalesce("wav", F.lit("")) == "") | (F.coalesce("text", F.lit("")) == "")
+    rows = metadata(spark, sf_dir).withColumn("norm", F.when(~empty, T.normalize_compare("text")))
+    rows = after_first(rows, "norm", "row").withColumns({"words": T.tokens("norm"), "a": T.letter_count("text", PLAIN), "b": T.letter_count("text", ACCENTED), "size": F.length("text")})
+    # Counted once here, as the rules and their details below use them several times.
+    rows = rows.withColumns({"top": T.mode_count("words"), "n": F.size("words")})
+    a, b, n, size, top = (F.col(c) for c in ("a", "b", "n", "size", "top"))
+    ratio = lambda name, part, whole: F.concat(F.lit(name + "="), F.format_number(part / whole, 3))
+    checks = [
+        Rule("non_printable", F.col("text").rlike(T.NON_PRINTABLE)),
+        Rule("too_short_text", size < 200, size.cast("string")),
+        Rule("too_long_text", size > 4000, size.cast("string")),
+        Rule("low_script_share", a < 0.9 * (a + b), ratio("cyr_ratio", a, a + b)),
+        Rule("code_switch", (a > 0) & (b > 0) & (b / (a + b) >= 0.15), ratio("lat_ratio", b, a + b)),
+        Rule("high_token_repetition", (n >= 6) & (10 * top >= n), ratio("score", top, n)),
         Rule("duplicate_text", F.col("duplicate")),
     ]
+    rules = [Rule("empty_wav_or_text", empty), *[Rule(r.name, ~empty & r.fires, r.details) for r in checks]]
     found = multilabel(rows, rules, ["row", "wav", "text"])
     return found.select("row", "wav", "issue", "details", "position", F.left(F.translate("text", "\t", " "), F.lit(80)).alias("text"))
 
 
 SUSPECTS_SQL = rf"""WITH m AS (SELECT row, wav, text, {COUNT_SQL.format(PLAIN)} AS a, {COUNT_SQL.format(ACCENTED)} AS b, {COMPARE_SQL} AS norm FROM ({METADATA_SQL})),
-w AS (SELECT *, {TOKENS_SQL.format('norm')} AS words, row_number() OVER (PARTITION BY norm ORDER BY row) AS seen FROM m),
+w AS (SELECT *, {TOKENS_SQL.format('norm')} AS words, row_number() OVER (PARTITION BY norm ORDER BY row) AS seen FROM m WHERE wav <> '' AND text <> ''),
 r AS (SELECT *, {MODE_SQL.format('words')} AS top, len(words) AS n FROM w),
 s AS (
-SELECT row, wav, text, 'empty_wav_or_text' AS issue, '' AS details, 0 AS position FROM r WHERE wav = '' OR text = ''
+SELECT row, wav, text, 'empty_wav_or_text' AS issue, '' AS details, 0 AS position FROM m WHERE coalesce(wav, '') = '' OR coalesce(text, '') = ''
 UNION ALL SELECT row, wav, text, 'non_printable', '', 1 FROM r WHERE regexp_matches(text, '[\x00-\x08\x0B\x0C\x0E-\x1F]')
-UNION ALL SELECT row, wav, text, 'too_short_text', 'len=' || length(text), 2 FROM r WHERE length(text) < 200
-UNION ALL SELECT row, wav, text, 'too_long_text', 'len=' || length(text), 3 FROM r WHERE length(text) > 4000
-UNION ALL SELECT row, wav, text, 'low_script_share', a || '/' || (a + b), 4 FROM r WHERE a < CAST(0.9 AS DOUBLE) * (a + b)
-UNION ALL SELECT row, wav, text, 'code_switch', '', 5 FROM r WHERE a > 0 AND b > 0 AND b / (a + b) >= CAST(0.15 AS DOUBLE)
-UNION ALL SELECT row, wav, text, 'high_token_repetition', top || '/' || n, 6 FROM r WHERE n >= 6 AND 10 * top >= n
+UNION ALL SELECT row, wav, text, 'too_short_text', CAST(length(text) AS VARCHAR), 2 FROM r WHERE length(text) < 200
+UNION ALL SELECT row, wav, text, 'too_long_text', CAST(length(text) AS VARCHAR), 3 FROM r WHERE length(text) > 4000
+UNION ALL SELECT row, wav, text, 'low_script_share', printf('cyr_ratio=%.3f', a / (a + b)), 4 FROM r WHERE a < CAST(0.9 AS DOUBLE) * (a + b)
+UNION ALL SELECT row, wav, text, 'code_switch', printf('lat_ratio=%.3f', b / (a + b)), 5 FROM r WHERE a > 0 AND b > 0 AND b / (a + b) >= CAST(0.15 AS DOUBLE)
+UNION ALL SELECT row, wav, text, 'high_token_repetition', printf('score=%.3f', top / n), 6 FROM r WHERE n >= 6 AND 10 * top >= n
 UNION ALL SELECT row, wav, text, 'duplicate_text', '', 7 FROM r WHERE seen > 1 AND norm <> ''),
 o AS (SELECT row, wav, issue, details, position, left(replace(text, chr(9), ' '), 80) AS text FROM s)
 """

@@ -31,7 +31,7 @@ def phonemize(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def long_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "documents").select("doc_id", F.explode(T.sentences("text")).alias("s"))
-    return rows.select("doc_id", F.explode(udfs.long_parts("s")).alias("part"))
+    return rows.select("doc_id", F.explode(udfs.long_parts()("s")).alias("part"))
 
 
 @query()

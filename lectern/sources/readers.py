@@ -22,7 +22,7 @@ from lectern.operators.joins import keep_last
 CUTLIST = "src_audio string, start double, end double, text string, status string, sim double, text_orig string, review struct<verdict:string,note:string,original_text:string,replaced_audio:struct<orig_src_audio:string,orig_audio_path:string,new_audio_path:string,fix_dir:string,start:double,end:double,created_at:string,ffmpeg_cmd:array<string>>>"
 MANIFEST = "audio_path string, text string, lang string, voice_id string, source string, sample_rate int, time_unix double, hash string, session string, meta string"
 TO_ALIGN = "audio_path string, sentences array<string>, original_full_text string, manifest_meta map<string,string>"
-VOICE_CONFIG = "audio struct<sample_rate:int,quality:string>, espeak struct<voice:string>, inference struct<noise_scale:double,length_scale:double,noise_w:double>, phoneme_type string, phoneme_id_map map<string,array<int>>, speaker_id_map map<string,int>, num_symbols int, num_speakers int, hop_length int, piper_version string"
+VOICE_CONFIG = "audio struct<sample_rate:int,quality:string>, espeak struct<voice:string>, inference struct<noise_scale:double,length_scale:double,noise_w:double>, phoneme_type string, phoneme_id_map map<string,array<int>>, speaker_id_map map<string,int>, num_symbols int, num_speakers int, hop_length int"
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:

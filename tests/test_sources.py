@@ -1,6 +1,7 @@
 """Readers, writers, audio and streaming on files of their own."""
 
 import json
+import random
 import wave
 
 import numpy as np
@@ -100,19 +101,38 @@ def test_audio_functions():
 
 
 def test_phonemize_blocks_and_similarity(spark):
-    g2p = {"I am the": [list("aɪɐm ðə")], "not": [list("nˈɑːt")]}.__getitem__
-    got = udfs.phonemize("I am the [[ bˈætmæn ]] not [[bɹˈuːs wˈeɪn]]", g2p)
-    assert ["".join(s) for s in got] == ["aɪɐm ðə bˈætmæn nˈɑːt bɹˈuːs wˈeɪn"]
-    assert ["".join(s) for s in udfs.phonemize("[[ bˈætmæn ɪz ]]", g2p)] == ["bˈætmæn ɪz"]
+    g2p = {"Old ships. They": [list("AB."), list("C")], "slowly.": [list("D.")], "On": [list("E")]}.__getitem__
+    said = lambda text: ["".join(s) for s in udfs.phonemize(text, g2p)]
+    assert said("Old ships. They [[ seɪl ]] slowly.") == ["AB.", "C seɪl D."]
+    assert said("[[ wˈɪnd ]]") == ["wˈɪnd"] and said("On[[x]]") == ["Ex"] and said("[[x]] [[y]]") == ["x  y"]
+    assert said("On") == ["E"] and said("") == [] and said("[[ ]]") == []
     df = spark.createDataFrame([("", ""), ("abcd", "bcde"), ("tide", "diet"), ("diet", "tide")], "a string, b string")
     assert [r[0] for r in df.select(udfs.similarity("a", "b")).collect()] == [1.0, 0.75, 0.25, 0.5]
 
 
+def plainly_split(text, most):
+    """The rule restated: the best kind of mark in the last 30 % of a part and one more character, else a space there, else ``most``."""
+    text = text.strip()
+    if len(text) <= most:
+        return [text] if text else []
+    spots = range(int(most * 0.7), most + 1)
+    options = [max((p + (kind != " ") for p in spots if text[p] == kind), default=None) for kind in ";:,— "]
+    cut = next((o for o in options if o is not None), most)
+    return [p for p in (text[:cut].strip(), *plainly_split(text[cut:], most)) if p]
+
+
 def test_long_split():
     text = "a" * 80 + "; " + "b" * 85 + ", " + "c" * 100
     assert udfs.split_long(text, 230, 0.7) == ["a" * 80 + "; " + "b" * 85 + ",", "c" * 100]
     assert udfs.split_long("x" * 500, 230) == ["x" * 230, "x" * 230, "x" * 40]
     assert udfs.split_long("word " * 100, 230)[0] == ("word " * 46).strip() and udfs.split_long("  ") == []
+    # A space before the floor is not taken, and a mark just after a full part still is.
+    assert [len(p) for p in udfs.split_long("a " + "b" * 300, 230)] == [230, 72]
+    assert udfs.split_long("x" * 230 + ";" + "y" * 9, 230) == ["x" * 230 + ";", "y" * 9]
+    rng = random.Random(7)
+    for _ in range(1500):
+        text = "".join(rng.choices(["a", "b", " ", "  ", ";", ":", ",", "—", "\t"], weights=[40, 40, 6, 1, 1, 1, rng.choice([0, 2]), 1, 1], k=rng.randrange(0, 400)))
+        assert udfs.split_long(text, 50) == plainly_split(text, 50)
 
 
 def test_streams_equal_batch(spark, tmp_path):
