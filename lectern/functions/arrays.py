@@ -138,3 +138,16 @@ def aligned_samples(ids: Column, samples: Column, group_sizes: Column) -> Column
     sums = F.transform(ends, lambda e, i: F.aggregate(F.slice(samples, (e - F.get(group_sizes, i)).cast("int") + 1, F.get(group_sizes, i).cast("int")), F.lit(0).cast("bigint"), lambda acc, x: acc + x))
     fits = (F.size(ids) == F.size(samples)) & (F.element_at(ends, -1) == F.size(ids))
     return F.when(fits, sums)
+
+
+def mono(channels: Column) -> Column:
+    """The mean of an array of channels of equal length, sample by sample."""
+    total = F.aggregate(F.slice(channels, 2, F.size(channels)), F.get(channels, F.lit(0)), lambda acc, c: F.zip_with(acc, c, lambda a, b: a + b))
+    return F.transform(total, lambda x: x / F.size(channels))
+
+
+def masked_mean(values: Column, mask: Column) -> Column:
+    """The mean of values whose mask is 1; null where none is."""
+    zero = F.lit(0.0)
+    total = F.aggregate(F.zip_with(values, mask, lambda v, m: v * m), zero, lambda acc, x: acc + x)
+    return F.try_divide(total, F.aggregate(mask, zero, lambda acc, x: acc + x))

@@ -179,3 +179,32 @@ def speech_scorer(factory: Callable[[], Callable[[np.ndarray], float]]) -> Calla
             yield batch.map(lambda chunks: None if chunks is None else [float(model(np.asarray(c, dtype=np.float32))) for c in chunks])
 
     return run
+
+
+def monotonic(scores: np.ndarray) -> np.ndarray:
+    """The symbol of each frame on the path of the greatest sum.
+
+    It starts at the first symbol, ends at the last one and never skips or goes
+    back; of equal paths, that which stays longer at later symbols. Empty where
+    there are fewer frames than symbols.
+    """
+    frames, symbols = scores.shape
+    if frames < symbols or not symbols:
+        return np.zeros(0, dtype=np.int32)
+    best = np.full(symbols, -np.inf)
+    best[0], moved = scores[0, 0], np.zeros((frames, symbols), dtype=bool)
+    for t in range(1, frames):
+        before = np.concatenate(([-np.inf], best[:-1]))
+        moved[t] = before > best
+        best = np.maximum(best, before) + scores[t]
+    path = np.empty(frames, dtype=np.int32)
+    at = symbols - 1
+    for t in range(frames - 1, -1, -1):
+        path[t] = at
+        at -= int(moved[t, at])
+    return path
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def best_monotonic(scores: pd.Series) -> pd.Series:
+    return scores.map(lambda s: None if s is None else monotonic(np.array([list(row) for row in s], dtype=float).reshape(len(s), -1)).tolist())

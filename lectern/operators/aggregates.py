@@ -68,3 +68,14 @@ def chunk_quality(df: DataFrame, text: str, short: int = 35, long: int = 230) ->
 def latest(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     """The name of the greatest row."""
     return df.agg(F.max_by(name, F.struct(*order, name)).alias(name))
+
+
+def issue_counts(df: DataFrame, issue: str) -> DataFrame:
+    return df.groupBy(issue).agg(F.count("*").alias("n"))
+
+
+def retained(df: DataFrame, step: str, loss: str, best: int = 3, last: int = 5, every: int = 5000) -> DataFrame:
+    """Steps to keep and why: the ``best`` of least loss, the ``last`` ones, and each multiple of ``every``."""
+    why = lambda rows, name: rows.select(step, F.lit(name).alias("why"))
+    kept = why(df.orderBy(loss, step).limit(best), "best").unionByName(why(df.orderBy(F.col(step).desc()).limit(last), "last"))
+    return kept.unionByName(why(df.filter(F.col(step) % every == 0), "every")).groupBy(step).agg(F.array_sort(F.collect_set("why")).alias("why"))

@@ -57,15 +57,17 @@ def validate(rows: DataFrame, info: DataFrame, expected_rate: int, min_len: int
     """Issues (class, row, wav, text, issue) of metadata rows (row_num, wav, text, issue) against files (wav and header fields).
 
     Rows with a parse issue give that issue alone, and their files count as extra.
-    A row whose file is missing is checked no further.
+    A row whose file is missing is checked no further, nor is the format of a file that cannot be read.
     """
     parsed = rows.filter(F.col("issue").isNull())
     seen = after_first(parsed, "wav", "row_num").withColumnRenamed("duplicate", "_again")
     joined = seen.join(info.withColumn("_found", F.lit(True)), "wav", "left")
     missing = F.col("_found").isNull()
     rules = [Rule("missing_wav", missing), Rule("duplicate_wav", F.col("_again")), *[Rule(r.name, ~missing & r.fires, r.details) for r in text_rules("text", min_len, max_len, min_share, primary, secondary, strict=True)]]
-    for name, fires in (("invalid_audio", F.col("error").isNotNull()), ("not_mono", F.col("channels") != 1), ("not_pcm16", F.col("subtype") != "PCM_16"), ("sample_rate_mismatch", F.col("samplerate") != expected_rate), ("too_short", F.col("duration") <= least_seconds)):
-        rules.append(Rule(name, ~missing & fires))
+    unread = F.col("error").isNotNull()
+    rules.append(Rule("invalid_audio", ~missing & unread))
+    for name, fires in (("not_mono", F.col("channels") != 1), ("not_pcm16", F.col("subtype") != "PCM_16"), ("sample_rate_mismatch", F.col("samplerate") != expected_rate), ("too_short", F.col("duration") <= least_seconds)):
+        rules.append(Rule(name, ~missing & ~unread & fires))
     kinds = {"missing_wav": 0, "duplicate_wav": 1, "non_printable": 2, "too_short_text": 2, "too_long_text": 2, "low_script_share": 2}
     group = F.coalesce(*[F.when(F.col("issue") == k, F.lit(v)) for k, v in kinds.items()], F.lit(3))
     found = multilabel(joined.drop("issue"), rules, ["row_num", "wav", "text"]).select(group.alias("class"), F.col("row_num").cast("string").alias("row"), "wav", "text", "issue")

@@ -88,3 +88,13 @@ def overall_verdict(counts: dict[str, Column]) -> Column:
 def first_edit(old: Column, new: Column, original: Column) -> Column:
     """The text to keep as the original: the first one that was edited away."""
     return F.when(original.isNull() & (new != old), old).otherwise(original)
+
+
+def with_status(df: DataFrame, status: str, mode: str = "all") -> DataFrame:
+    """Rows of one status, or ``all``."""
+    return df if mode == "all" else df.filter(F.col(status) == mode)
+
+
+def whitelisted(df: DataFrame, wanted: list[str], keep: list[str]) -> DataFrame:
+    """``keep`` and a struct ``meta`` of the wanted columns that the table has."""
+    return df.select(*keep, F.struct(*[c for c in wanted if c in df.columns]).alias("meta"))

@@ -23,4 +23,4 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-from lectern.plans import array_queries, join_queries, report_queries, sequence_queries, text_queries, udf_queries  # noqa: E402, F401
+from lectern.plans import array_queries, check_queries, join_queries, report_queries, sequence_queries, text_queries, udf_queries  # noqa: E402, F401
