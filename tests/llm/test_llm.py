@@ -219,7 +219,7 @@ def test_a_common_passage_is_dealt_to_several_shards(spark):
     from lectern.llm import suffix_dedup as S
 
     rng = random.Random(13)
-    passage = prose(rng, 22)
+    passage = prose(rng, 60)
     texts = [prose(rng, 12) + " " + passage + " " + prose(rng, 12) for _ in range(60)]
     texts += [t[:40] + texts[0][40:] for t in texts[:10]]
     want = brute_removed(texts, 200)
