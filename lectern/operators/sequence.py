@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 from lectern.functions import text as T
 
@@ -109,8 +110,35 @@ def after_first(df: DataFrame, value: str, order: str) -> DataFrame:
     return df.join(first, value, "left").withColumn("duplicate", F.coalesce(F.col("_first") < F.col(order), F.lit(False))).drop("_first")
 
 
+#: Values of an integer order that are numbered together.
+STRETCH = 1 << 16
+
+
+def global_rank(df: DataFrame, block: Column, order: list[Column], name: str) -> DataFrame:
+    """``name``: the rank (from 1) of each row by ``order``; ``block`` must not fall along that order.
+
+    Ranks inside a block come from a window over its rows, and what precedes a block
+    from the counts of all blocks, of which there are far fewer than rows. Null
+    blocks come first, as nulls do in the order.
+    """
+    # One exchange serves the window and the counts, so that ``df`` need not be computed for each.
+    blocked = df.withColumn("_block", block).repartition("_block")
+    counts = blocked.groupBy("_block").agg(F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select(F.col("_block").alias("_start_of"), F.coalesce(before, F.lit(0)).alias("_start"))
+    inside = blocked.withColumn("_inside", F.row_number().over(Window.partitionBy("_block").orderBy(*order)))
+    placed = inside.join(starts, F.col("_block").eqNullSafe(F.col("_start_of")))
+    return placed.withColumn(name, F.col("_start") + F.col("_inside")).drop("_block", "_start_of", "_start", "_inside")
+
+
 def numbered_names(df: DataFrame, order: str, pattern: str, keys: list[str] | None = None) -> DataFrame:
-    """``name`` from the running number (from 0) of the kept rows, per key or overall."""
+    """``name`` from the running number (from 0) of the kept rows, per key or overall.
+
+    Overall numbers of integer ``order`` are counted by stretches of it, so that no task sorts all rows.
+    """
+    if not keys and isinstance(df.schema[order].dataType, IntegralType):
+        numbered = global_rank(df, F.floor(F.col(order) / STRETCH), [F.col(order)], "_n")
+        return numbered.withColumn("name", F.format_string(pattern, F.col("_n") - 1)).drop("_n")
     n = F.row_number().over(Window.partitionBy(*(keys or [])).orderBy(order)) - 1
     return df.withColumn("name", F.format_string(pattern, *[F.col(k) for k in keys or []], n))
 
@@ -128,7 +156,8 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 def split_sizes(df: DataFrame, key: str, val_share: float = 0.1, n_test: int = 5, seed: int = 42) -> DataFrame:
     """``part`` of exact sizes: floor(n * val_share) val, ``n_test`` test, the rest train."""
     total = df.agg(F.count("*").alias("_n"))
-    ranked = df.withColumn("_r", F.row_number().over(Window.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)))
+    hashed = F.xxhash64(F.col(key), F.lit(seed))
+    ranked = global_rank(df, F.shiftright(hashed, 48), [hashed, F.col(key)], "_r")
     n_val = F.floor(F.col("_n") * val_share)
     part = F.when(F.col("_r") <= n_val, "val").when(F.col("_r") <= n_val + n_test, "test").otherwise("train")
     return ranked.join(F.broadcast(total)).withColumn("part", part).drop("_r", "_n")  # one row

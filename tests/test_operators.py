@@ -131,6 +131,18 @@ def test_build_sync_validate(spark):
     assert issues == [("-", "y.wav", "extra_wav"), ("2", "x.wav", "duplicate_wav"), ("3", "y.wav", "missing_text"), ("4", "gone.wav", "missing_wav"), ("5", "lost.wav", "missing_wav")]
 
 
+def test_global_numbers_equal_one_sort(spark):
+    rng = random.Random(5)
+    rows = rng.sample(range(-400_000, 400_000), 300) + [None]
+    df = spark.createDataFrame([(r,) for r in rows], "row bigint").repartition(3)
+    got = {r.row: r.name for r in S.numbered_names(df, "row", "%d.wav").collect()}
+    assert got == {r: f"{i}.wav" for i, r in enumerate(sorted(rows, key=lambda r: (r is not None, r or 0)))}
+    hashed = F.xxhash64("row")
+    ranked = S.global_rank(df, F.shiftright(hashed, 60), [hashed], "n").withColumn("h", hashed).collect()
+    assert [r.n for r in sorted(ranked, key=lambda r: r.h)] == list(range(1, 302))
+    assert S.numbered_names(df.limit(0), "row", "%d.wav").collect() == []
+
+
 def test_split_sizes(spark):
     got = {r.part: r["count"] for r in S.split_sizes(spark.range(87), "id").groupBy("part").count().collect()}
     assert got == {"val": 8, "test": 5, "train": 74}
