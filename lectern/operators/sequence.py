@@ -121,12 +121,11 @@ def global_rank(df: DataFrame, block: Column, order: list[Column], name: str) ->
     from the counts of all blocks, of which there are far fewer than rows. Null
     blocks come first, as nulls do in the order.
     """
-    # One exchange serves the window and the counts, so that ``df`` need not be computed for each.
-    blocked = df.withColumn("_block", block).repartition("_block")
-    counts = blocked.groupBy("_block").agg(F.count("*").alias("_rows"))
+    inside = df.withColumn("_block", block).withColumn("_inside", F.row_number().over(Window.partitionBy("_block").orderBy(*order)))
+    # Counted by the window's own exchange, which is reused where ``df`` holds little besides its order.
+    counts = inside.groupBy("_block").agg(F.max("_inside").alias("_rows"))
     before = F.sum("_rows").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select(F.col("_block").alias("_start_of"), F.coalesce(before, F.lit(0)).alias("_start"))
-    inside = blocked.withColumn("_inside", F.row_number().over(Window.partitionBy("_block").orderBy(*order)))
     placed = inside.join(starts, F.col("_block").eqNullSafe(F.col("_start_of")))
     return placed.withColumn(name, F.col("_start") + F.col("_inside")).drop("_block", "_start_of", "_start", "_inside")
 
