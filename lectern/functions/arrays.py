@@ -13,6 +13,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def rounded(x: Column, places: int) -> Column:
+    """``x`` as C's ``round(x * 10**places) / 10**places``: halves away from zero, and a small negative value gives -0.0.
+
+    Spark's own ``round`` goes through decimals, which have no negative zero.
+    """
+    x, scale = x.cast("double"), F.lit(10.0**places)
+    whole = F.round(x * scale)
+    out = F.when(whole == 0, F.signum(x) * 0.0).otherwise(whole / scale)
+    # What overflows is round already.
+    return F.when(F.abs(out) < float("inf"), out).otherwise(x)
+
+
 def symbol_ids(symbols: Column | str, ids: Column, bos: int = BOS, eos: int = EOS, pad: int = PAD) -> Column:
     """``BOS PAD (id PAD)* EOS``; ``ids`` maps a symbol to an array of ids, others are left out."""
     inner = F.flatten(F.transform(_col(symbols), lambda s: F.coalesce(F.transform(F.try_element_at(ids, s), lambda i: F.array(i, F.lit(pad))), F.array()).cast("array<array<int>>")))

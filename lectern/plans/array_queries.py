@@ -118,7 +118,7 @@ def clip_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = F.when(F.col("vec_id") % 2 == 0, 1.0).otherwise(5.0)
     rows = read(spark, sf_dir, "embeddings")
     clip = A.clip_range("embedding", F.lit(0.25), end, 32)
-    return rows.select("vec_id", F.transform(clip, lambda x: F.round(x.cast("double"), 6)).alias("clip"), (F.size("embedding") / 32).alias("seconds"))
+    return rows.select("vec_id", F.transform(clip, lambda x: A.rounded(x, 6)).alias("clip"), (F.size("embedding") / 32).alias("seconds"))
 
 
 @query("SELECT event_id, CAST(len(list_filter([0.0::DOUBLE, 10, 20, 40, 80], lambda b: value >= b)) - 1 AS INTEGER) AS bin FROM events")
