@@ -116,7 +116,7 @@ def mono_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Halves of a vector as two channels."""
     half = lambda s: F.transform(F.slice("embedding", s, 32), lambda x: x.cast("double"))
     rows = read(spark, sf_dir, "embeddings").select("vec_id", A.mono(F.array(half(1), half(33))).alias("m"))
-    return rows.select("vec_id", F.transform("m", lambda x: F.round(x, 6)).alias("mono"))
+    return rows.select("vec_id", F.transform("m", lambda x: A.rounded(x, 6)).alias("mono"))
 
 
 @query(f"SELECT vec_id, round(list_sum(a[1 : 1 + vec_id % 64]) / (1 + vec_id % 64), 6) AS mean FROM ({AUDIO_SQL})".replace("a[1 : 1 + vec_id % 64]", "a[1 : CAST(1 + vec_id % 64 AS BIGINT)]"))
