@@ -50,7 +50,7 @@ def peak_int16(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT vec_id, round(m, 6) AS peak, list_transform(a, lambda x: round(greatest(least(x / m * CAST(0.8 AS DOUBLE), 1), -1), 6)) AS audio FROM (SELECT vec_id, a, list_max(list_transform(a, lambda x: abs(x))) AS m FROM ({AUDIO_SQL}))")
 def peak_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "embeddings").select("vec_id", F.round(A.peak("embedding").cast("double"), 6).alias("peak"), A.peak_normalize("embedding", 0.8).alias("a"))
-    return rows.select("vec_id", "peak", F.transform("a", lambda x: F.round(x, 6)).alias("audio"))
+    return rows.select("vec_id", "peak", F.transform("a", lambda x: A.rounded(x, 6)).alias("audio"))
 
 
 @query("SELECT conv_id, turn, list_concat(l, list_transform(range(m - len(l)), lambda i: 0)) AS padded, list_transform(range(m), lambda i: CASE WHEN i < len(l) THEN 1 ELSE 0 END) AS mask FROM (SELECT conv_id, turn, l, max(len(l)) OVER (PARTITION BY conv_id) AS m FROM (SELECT conv_id, turn, list_transform(string_split(text, ' '), lambda w: CAST(length(w) AS INTEGER)) AS l FROM conversations))")

@@ -14,14 +14,14 @@ def bits(xs):
     return [struct.pack("<d", x) for x in xs]
 
 
-@pytest.mark.parametrize("name", ["clip_range", "mono_mix"])
+@pytest.mark.parametrize("name", ["clip_range", "mono_mix", "peak_normalize"])
 def test_small_negative_samples_keep_their_sign(spark, tmp_path, name):
     rows = [(k, [(-1) ** (i + k) * 10.0 ** -(i % 12) * (1 + i / 100) for i in range(64)]) for k in range(4)]
     rows.append((4, [-3e-7 if i % 32 else 0.25 for i in range(64)]))
     spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
-    column = {"clip_range": "clip", "mono_mix": "mono"}[name]
+    column = {"clip_range": "clip", "mono_mix": "mono", "peak_normalize": "audio"}[name]
     want = {k: bits(x) for k, x in con.execute(f"SELECT vec_id, {column} FROM ({ORACLES[name]})").fetchall()}
     assert any(b == bits([-0.0])[0] for x in want.values() for b in x)
     assert {r.vec_id: bits(r[column]) for r in QUERIES[name](spark, str(tmp_path)).collect()} == want
