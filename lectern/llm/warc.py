@@ -91,10 +91,11 @@ def records_of(df: DataFrame, id_col: str = "page_id", uri_col: str = "url", pay
     roles = digests.join(firsts.select("digest", "first"), "digest").filter("key is null or key <> first").select("key", "digest", "first").distinct()
     total = digests.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     archives = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // archive_bytes))
-    # Rows without an id are dealt by their payload.
-    dealt = rows.withColumn("digest", F.sha1("payload")).repartition(archives, "key", "digest")
-    same = F.col("key").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("its"))
-    joined = dealt.join(roles.toDF("of", "its", "first").repartition(archives, "of", "its"), same, "left")
+    # Rows without an id are dealt by their payload. The keys of the join are plain columns, so that it takes the rows as
+    # they are dealt; a null-safe comparison would deal all payloads a second time.
+    known, dealt_by = F.coalesce("key", F.lit(0).cast("long")), ["id", "none", "digest"]
+    dealt = rows.select("*", known.alias("id"), F.col("key").isNull().alias("none"), F.sha1("payload").alias("digest")).repartition(archives, *dealt_by)
+    joined = dealt.join(roles.select(known.alias("id"), F.col("key").isNull().alias("none"), "digest", "first").repartition(archives, *dealt_by), dealt_by, "left")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

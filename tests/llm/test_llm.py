@@ -761,6 +761,16 @@ def test_warc_round_trip_and_dedup(spark, tmp_path):
             assert bytes(r.payload) == (b"" if r.id in revisits else data)
 
 
+def test_payloads_are_dealt_once(spark):
+    """The join with the roles takes the payloads as they are dealt to archives."""
+    from lectern.llm import warc
+
+    rows = [(k % 7, f"u{k}", "a" * (k % 5)) for k in range(20)] + [(None, None, "a")]
+    plan = warc.records_of(spark.createDataFrame(rows, "page_id long, url string, html string"))._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert any("Exchange" in line for line in plan)
+    assert not any("Exchange" in a and "Exchange" in b for a, b in zip(plan, plan[1:]))
+
+
 def test_warc_rows_without_an_id_and_repeated_rows(spark, tmp_path):
     from lectern.llm import warc as W
 
