@@ -229,6 +229,24 @@ def test_a_common_passage_is_dealt_to_several_shards(spark):
         assert got == want
 
 
+def test_copies_of_a_text_are_listed_once(spark, monkeypatch):
+    """What is stored on the way does not grow with the copies of a text, and what others share with it is found."""
+    from lectern.llm import suffix_dedup as S
+
+    rng, stored = random.Random(17), []
+    monkeypatch.setattr(S, "checkpoint", lambda df, real=S.checkpoint: (out := real(df), stored.append(out.count()))[0])
+    text, other = prose(rng, 400), prose(rng, 200)
+    single = [prose(rng, 50) + text[300:700] + prose(rng, 50), other, text[:250]]
+    sizes = []
+    for copies in (2, 22):
+        texts = [text] * copies + single
+        stored.clear()
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in S.digest(S.dedup(docs_of(spark, texts))).collect()}
+        assert got == brute_removed(texts, 200)
+        sizes.append(sum(stored))
+    assert sizes[1] <= sizes[0] + 20  # a row for each further copy
+
+
 def test_repeated_strings_without_ids_and_with_repeated_ones(spark):
     from lectern.llm import suffix_dedup as S
 
